@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from siltstone.suite import dimensions, ledgers  # noqa: F401
+from siltstone.suite import decoding, dimensions, ledgers, quality  # noqa: F401
 from siltstone.suite.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

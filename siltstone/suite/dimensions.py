@@ -103,7 +103,7 @@ def _number_text(spark, folder):
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     text = F.concat(
         F.floor(cents / 100000).cast("string"),
-        F.when(F.col("l_returnflag") == "A", F.lit(" ")).otherwise(F.lit(" ")),
+        F.when(F.col("l_returnflag") == "A", F.lit("\u00a0")).otherwise(F.lit("\u202f")),
         F.lpad((F.floor(cents / 100) % 1000).cast("string"), 3, "0"),
         F.lit(","),
         F.lpad((cents % 100).cast("string"), 2, "0"),
