@@ -120,3 +120,13 @@ def ratio(part: Column | str, whole: Column | str) -> Column:
     """part / whole as a double, NULL unless the whole is positive."""
     whole = as_column(whole)
     return F.when(whole > 0, as_column(part).cast("double") / whole)
+
+
+def recode(value: Column | str, read_as: str, really: str) -> Column:
+    """Repair text whose bytes were read in another single-byte encoding.
+
+    Spark reads a short list of encodings. ISO-8859-1 among them keeps every byte, so text
+    in any other single-byte encoding is read as that and mapped to what it really says.
+    """
+    upper = bytes(range(0xA0, 0x100))
+    return F.translate(as_column(value), upper.decode(read_as), upper.decode(really))

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from siltstone.functions.text import local_number, period_year, territory_code, unit_code
+from siltstone.functions.text import local_number, period_year, recode, territory_code, unit_code
 from siltstone.operators.decode import decode_wide_tsv
 
 CORRUPT = "_corrupt_record"
@@ -101,8 +101,11 @@ def read_positional_csv(
     """Headerless CSV in a legacy encoding; columns are picked by position."""
     width = max(picks.values()) + 1
     schema = ", ".join(f"c{i} string" for i in range(width))
-    rows = spark.read.schema(schema).options(header=False, encoding=encoding, quote='"', escape='"', mode="PERMISSIVE").csv(path)
-    return rows.select(*[F.col(f"c{i}").alias(n) for n, i in picks.items()], F.col("_metadata.file_name").alias(file_column))
+    rows = spark.read.schema(schema).options(header=False, encoding="ISO-8859-1", quote='"', escape='"', mode="PERMISSIVE").csv(path)
+    return rows.select(
+        *[recode(f"c{i}", "ISO-8859-1", encoding).alias(n) for n, i in picks.items()],
+        F.col("_metadata.file_name").alias(file_column),
+    )
 
 
 def read_union_by_name(spark: SparkSession, paths: Sequence[str], sep: str = ";", file_column: str | None = None) -> DataFrame:
