@@ -94,16 +94,19 @@ def guarded_dedup(
     identity: Sequence[str],
     measures: Sequence[str],
     labels: Sequence[str] = (),
+    null_is_value: bool = True,
     message: str = "conflicting values for one key",
 ) -> DataFrame:
     """One row per key for input without an ingestion sequence; measures must agree.
 
+    With ``null_is_value`` a NULL measure beside a filled one is a conflict as well.
+
     Each distinct (identity, labels, measures) combination is folded to one row first, so
     the guard and the tie-break both work on what is left after map-side combining.
     """
     columns = [*identity, *labels, *measures]
     variants = df.select(*columns).distinct()
-    conflicts = conflicting_keys(variants, identity, measures)
+    conflicts = conflicting_keys(variants, identity, measures, null_is_value)
     alarmed = variants.join(conflicts.withColumn("_conflict", F.lit(True)), list(identity), "left").where(
         F.assert_true(F.col("_conflict").isNull(), message).isNull()
     )
@@ -122,6 +125,7 @@ def revision_ledger(
     evidence: Mapping[str, str] | None = None,
     events: Sequence[tuple[str, Sequence[str]]],
     default_event: str = "observed_metadata_changed",
+    look_back: Sequence[str] = (),
     hash_column: str = "canonical_record_sha256",
     order_by_text: bool = False,
     chunk: Column | None = None,
@@ -132,7 +136,8 @@ def revision_ledger(
     when their canonical JSON is. Versions are numbered by first sighting; the current one
     is the one seen last. ``events`` lists (label, fields): the first entry with a changed
     field classifies the version. ``evidence`` maps output suffixes to columns of which the
-    smallest and largest value are kept. ``order_by_text`` breaks ties by the record text
+    smallest and largest value are kept. ``look_back`` adds fields whose previous value is
+    wanted though it decides no event. ``order_by_text`` breaks ties by the record text
     and not by its hash.
     """
     fields = list(record)
@@ -154,7 +159,7 @@ def revision_ledger(
         .withColumn(hash_column, record_hash("canonical_record_json"))
     )
     tie = "canonical_record_json" if order_by_text else hash_column
-    looked_at = list(dict.fromkeys([hash_column, *[f for _, group in events for f in group]]))
+    looked_at = list(dict.fromkeys([hash_column, *[f for _, group in events for f in group], *look_back]))
     lined = annotate_sequence(
         versions,
         keys,
@@ -313,6 +318,7 @@ def change_events(
     evidence: Sequence[str],
     from_response: Sequence[str] = (),
     contract: str,
+    record: Sequence[str] | None = None,
     labels: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Value changes, metadata changes, disappearances and returns between responses.
@@ -320,7 +326,8 @@ def change_events(
     Only responses that still carry the publication (``scope``) are compared; a response
     without it proves nothing about its members. Every event follows from two consecutive
     sightings of a record and the responses next to them: no timeline of absent steps is
-    built. ``records`` holds one row per (scope, member, sequence).
+    built. ``records`` holds one row per (scope, member, sequence). ``record`` gives the
+    field order of the hashed canonical record.
     """
     names = {
         "missing": "source_record_missing",
@@ -330,7 +337,8 @@ def change_events(
         **(labels or {}),
     }
     fields = [*values, *metadata]
-    text = canonical_json([F.lit(contract).alias("record_contract_version"), *scope, member, *fields])
+    ordered = record or [*scope, member, *fields]
+    text = canonical_json([F.lit(contract).alias("record_contract_version"), *ordered])
     hashed = records.withColumn("_sha", record_hash(text))
     steps = _responses(hashed, scope, sequence, [*evidence, *from_response])
     placed = hashed.select(*scope, member, F.col(sequence).alias("_seq"), F.struct(*fields, "_sha").alias("_rec")).join(

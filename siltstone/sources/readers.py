@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from siltstone.functions.text import local_number, period_year, recode, territory_code, unit_code
 from siltstone.operators.decode import decode_wide_tsv
@@ -164,31 +164,52 @@ def fold_extra_columns(df: DataFrame, constants: Mapping[str, Column], standard:
     )
 
 
-def _per_file(side: DataFrame, scan: DataFrame, at_most: int = 10_000) -> DataFrame:
-    """Broadcast a side that holds one short row per scanned file, while files are few.
+def _per_split(side: DataFrame, scan: DataFrame, at_most: int = 10_000) -> DataFrame:
+    """Broadcast a side that holds one short row per file split, while splits are few.
 
-    The number of files is known to the driver without reading them.
+    Files and scan partitions are known to the driver before anything is read, and together
+    they bound the number of splits.
     """
-    return F.broadcast(side) if len(scan.inputFiles()) <= at_most else side
+    splits = len(scan.inputFiles()) + scan.rdd.getNumPartitions()
+    return F.broadcast(side) if splits <= at_most else side
 
 
 def read_wide_tsv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Cells of wide TSV files (plain or gzip), each file decoded by its own header line.
 
-    The header of a file is found by its marker, not by position, so a file may be split.
-    ``.gz`` files are not splittable: parallelism is the number of files, and the lines are
-    spread again before the cells explode.
+    The header of a file is found by its marker, so a file may be split. Line numbers are
+    exact: ids rise by one inside a split, and each split starts behind the lines of the
+    splits before it. ``.gz`` files are not splittable: parallelism is the number of files,
+    so the lines are spread before the cells explode.
     """
     lines = spark.read.text(path).select(
-        F.regexp_replace("value", "^﻿", "").alias("line"),
+        F.regexp_replace("value", "^\ufeff", "").alias("line"),
         F.col("_metadata.file_path").alias("source_file"),
-        F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("at"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("id"),
     )
     is_header = F.upper(F.split("line", "\t")[0]).contains("\\TIME_PERIOD")
-    headers = lines.where(is_header).groupBy("source_file").agg(F.min_by("line", "at").alias("header"))
-    body = lines.where(~is_header & (F.col("line") != ""))
-    spread = body.repartition("line").join(_per_file(headers, lines), "source_file")
-    return decode_wide_tsv(spread, "line", "header", ["source_file"])
+    before = Window.partitionBy("source_file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (
+        lines.groupBy("source_file", "split")
+        .agg(
+            F.min("id").alias("first_id"),
+            F.count(F.lit(1)).alias("n"),
+            F.min_by("line", F.when(is_header, F.col("id"))).alias("head"),
+        )
+        .select(
+            "source_file",
+            "split",
+            "first_id",
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("lines_before"),
+            F.min("head").over(Window.partitionBy("source_file")).alias("header"),
+        )
+    )
+    body = lines.where(~is_header & (F.col("line") != "")).repartition("line")
+    numbered = body.join(_per_split(splits, lines), ["source_file", "split"]).withColumn(
+        "line_number", F.col("lines_before") + F.col("id") - F.col("first_id") + 1
+    )
+    return decode_wide_tsv(numbered, "line", "header", ["source_file"], "line_number")
 
 
 def read_jsonl_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -221,7 +242,7 @@ def read_sectioned_lines(spark: SparkSession, path: str) -> DataFrame:
     before = F.filter("marks", lambda m: m["at"] <= F.col("at"))
     return (
         lines.where(section.isNull() & ~closes)
-        .join(_per_file(marks, lines), "source_file")
+        .join(_per_split(marks, lines), "source_file")
         .select("source_file", "value", "at", F.try_element_at(before, F.lit(-1))["section"].alias("section"))
     )
 
