@@ -12,6 +12,9 @@ from siltstone.operators.decode import decode_wide_tsv
 
 CORRUPT = "_corrupt_record"
 
+# Encodings Spark reads itself.
+SPARK_ENCODINGS = ("ISO-8859-1", "US-ASCII", "UTF-8", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32")
+
 
 def scan_parquet(spark: SparkSession, *paths: str, merge: bool = True, file_column: str | None = None) -> DataFrame:
     """Parquet files united by column name, with the source file name on request.
@@ -90,8 +93,10 @@ def read_csv_tolerant(
         columnPruning=False,
         **options,
     ).csv(path)
-    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = rows.where(F.col(CORRUPT).isNotNull()).select("*", F.col("_metadata.file_path").alias("source_file"))
+    # Spark refuses plans that read the reject column alone, as a bare count would.
+    parsed = rows.where(F.length(F.coalesce(F.col(f"`{columns[0]}`"), F.lit(""))) >= 0)
+    good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    bad = parsed.where(F.col(CORRUPT).isNotNull()).select("*", F.col("_metadata.file_path").alias("source_file"))
     return good, bad.withColumnRenamed(CORRUPT, "bad_row")
 
 
@@ -101,9 +106,11 @@ def read_positional_csv(
     """Headerless CSV in a legacy encoding; columns are picked by position."""
     width = max(picks.values()) + 1
     schema = ", ".join(f"c{i} string" for i in range(width))
-    rows = spark.read.schema(schema).options(header=False, encoding="ISO-8859-1", quote='"', escape='"', mode="PERMISSIVE").csv(path)
+    native = encoding.upper() in SPARK_ENCODINGS
+    read_as = encoding if native else "ISO-8859-1"
+    rows = spark.read.schema(schema).options(header=False, encoding=read_as, quote='"', escape='"', mode="PERMISSIVE").csv(path)
     return rows.select(
-        *[recode(f"c{i}", "ISO-8859-1", encoding).alias(n) for n, i in picks.items()],
+        *[(F.col(f"c{i}") if native else recode(f"c{i}", read_as, encoding)).alias(n) for n, i in picks.items()],
         F.col("_metadata.file_name").alias(file_column),
     )
 
