@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -95,6 +94,3 @@ def calendar_columns(day: Column | str) -> dict[str, Column]:
         "iso_weekday": F.weekday(day) + 1,
     }
 
-
-def earliest(columns: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: F.least(a, b), columns)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from siltstone.functions.text import as_column
+from siltstone.sources.scratch import scratch_root
 
 # Level names of the territorial register, top down.
 REGION, COUNTY, MUNICIPALITY = "wojewodztwo", "powiat", "gmina"
@@ -82,6 +83,7 @@ def taxonomy_paths(
         "*", *placed(blank, blank), F.col("node_name").alias("taxonomy_path"), F.lit(1).alias("tree_level")
     )
     if depth is None:
+        scratch_root(nodes.sparkSession)
         level = level.checkpoint()
     out, number = level, 1
     while depth is None or number < depth:

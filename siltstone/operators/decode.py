@@ -16,6 +16,17 @@ from siltstone.functions.text import DECIMAL_PATTERN, as_column, decimal_number
 # --- JSON envelopes ---------------------------------------------------------------------
 
 
+def explode_rows(df: DataFrame, array: Column | str, name: str) -> DataFrame:
+    """One row per element of a parsed array; NULL and empty arrays give none.
+
+    A plain ``explode`` makes the optimizer add "array is not empty" below it, which parses
+    the body once more, before any repartitioning. The outer form with its position leaves
+    the parse alone and still keeps NULL elements.
+    """
+    out = df.select("*", F.posexplode_outer(array).alias("_at", name))
+    return out.where("_at is not null").drop("_at")
+
+
 def decode_envelopes(
     df: DataFrame,
     body: str,
@@ -35,7 +46,7 @@ def decode_envelopes(
     """
     out = df.select(*keep, F.from_json(F.col(body), schema, {"mode": mode}).alias("body"))
     for number, level in enumerate(levels):
-        out = out.select("*", F.explode(level).alias(f"item{number}"))
+        out = explode_rows(out, level, f"item{number}")
     return out.select(*keep, *[as_column(expr).alias(name) for name, expr in fields.items()])
 
 
@@ -114,18 +125,20 @@ def _codes(index: Column) -> Column:
     )
 
 
-def _dense(text: Column, total: Column) -> Column:
-    """Array with one entry per cube position, from a full list or a sparse position map.
+def _entries(text: Column) -> Column:
+    """Sorted (position, value) pairs of a sparse position map; NULL for the list form."""
+    pairs = F.map_entries(F.from_json(text, "map<string,string>"))
+    placed = F.transform(pairs, lambda e: F.struct(e["key"].cast("long").alias("p"), e["value"].alias("v")))
+    return F.when(~_is_list(text), F.array_sort(placed))
+
+
+def _dense(text: Column, given: Column, total: Column) -> Column:
+    """Array with one entry per cube position, from a full list or from sorted sparse pairs.
 
     The sparse form is filled from gap to gap, which is linear in the cube; looking every
-    position up in the map would be quadratic.
+    position up in the map would be quadratic. ``given`` has to be a stored column, because
+    the lambda reads it for every pair.
     """
-    given = F.array_sort(
-        F.transform(
-            F.map_entries(F.from_json(text, "map<string,string>")),
-            lambda e: F.struct(e["key"].cast("long").alias("p"), e["value"].alias("v")),
-        )
-    )
     blanks = lambda n: F.array_repeat(F.lit(None).cast("string"), n.cast("int"))
     stretches = F.transform(
         given,
@@ -134,7 +147,7 @@ def _dense(text: Column, total: Column) -> Column:
         ),
     )
     sparse = F.concat(blanks(F.coalesce(F.try_element_at(given, F.lit(1))["p"], total)), F.flatten(stretches))
-    return F.when(text.isNull(), blanks(total)).when(_is_list(text), F.from_json(text, "array<string>")).otherwise(sparse)
+    return F.when(text.isNull(), blanks(total)).when(given.isNull(), F.from_json(text, "array<string>")).otherwise(sparse)
 
 
 def decode_cube(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -143,8 +156,12 @@ def decode_cube(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame
     Adds the cell's position, its complete dimension key as sorted JSON with its hash, the
     value as text and as a number, its status, and whether it is missing. A body that is no
     consistent cube fails the query.
+
+    Everything that belongs to the cube and not to the cell (code lists, strides, the JSON
+    piece of every code) is prepared once per body, before the cells explode.
     """
     parsed = df.select(*keep, F.from_json(F.col(body), CUBE_SCHEMA, {"mode": "FAILFAST"}).alias("c"))
+    total = F.aggregate(F.col("c.size"), F.lit(1).cast("long"), lambda acc, s: acc * s)
     dims = F.transform(
         F.col("c.id"),
         lambda name, i: F.struct(
@@ -158,14 +175,28 @@ def decode_cube(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame
             ).alias("stride"),
         ),
     )
-    total = F.aggregate(F.col("c.size"), F.lit(1).cast("long"), lambda acc, s: acc * s)
-    laid = parsed.select(*keep, "c", dims.alias("dims"), total.alias("total")).select(
+    laid = parsed.select(
+        *keep,
+        "c",
+        total.alias("total"),
+        F.array_sort(dims).alias("dims"),
+        _entries(F.col("c.value")).alias("given"),
+        _entries(F.col("c.status")).alias("marks"),
+    )
+    filled = laid.select(
         *keep,
         "c",
-        "dims",
         "total",
-        _dense(F.col("c.value"), F.col("total")).alias("values"),
-        _dense(F.col("c.status"), F.col("total")).alias("statuses"),
+        "dims",
+        _dense(F.col("c.value"), F.col("given"), F.col("total")).alias("values"),
+        _dense(F.col("c.status"), F.col("marks"), F.col("total")).alias("statuses"),
+        # to_json of a one-entry map is {"name":"code"}; without its braces it is the piece of the key.
+        F.transform(
+            "dims",
+            lambda d: F.transform(
+                d["codes"], lambda code: F.regexp_extract(F.to_json(F.create_map(d["name"], code)), r"(?s)^\{(.*)\}$", 1)
+            ),
+        ).alias("pieces"),
     )
     sound = (
         (F.col("c.version") == "2.0")
@@ -174,38 +205,44 @@ def decode_cube(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame
         & (F.size("values") == F.col("total"))
         & (F.size("statuses") == F.col("total"))
     )
-    laid = laid.where(F.assert_true(F.coalesce(sound, F.lit(False)), "inconsistent statistical cube").isNull())
-    cells = laid.select(
+    checked = F.when(F.coalesce(sound, F.lit(False)), F.arrays_zip("values", "statuses")).otherwise(
+        F.raise_error(F.lit("inconsistent statistical cube"))
+    )
+    cells = filled.select(
         *keep,
         F.col("c.label").alias("label"),
         F.col("c.updated").alias("updated"),
         "dims",
-        F.posexplode(F.arrays_zip("values", "statuses")).alias("position", "cell"),
+        "pieces",
+        F.posexplode(checked).alias("position", "cell"),
     )
-    key = F.map_from_entries(
-        F.array_sort(
-            F.transform(
-                "dims",
-                lambda d: F.struct(
-                    d["name"].alias("k"),
-                    F.element_at(d["codes"], (F.floor(F.col("position") / d["stride"]) % d["size"] + 1).cast("int")).alias("v"),
-                ),
-            )
-        )
+
+    def at(d: Column) -> Column:
+        return (F.floor(F.col("position") / d["stride"]) % d["size"] + 1).cast("int")
+
+    key = F.transform("dims", lambda d, i: F.element_at(F.element_at(F.col("pieces"), i + 1), at(d)))
+    text = cells.select(
+        *keep,
+        "label",
+        "updated",
+        "position",
+        F.map_from_arrays(F.transform("dims", lambda d: d["name"]), F.transform("dims", lambda d: F.element_at(d["codes"], at(d)))).alias("dimensions"),
+        F.concat(F.lit("{"), F.array_join(key, ","), F.lit("}")).alias("dimension_key_json"),
+        "cell",
     )
-    keyed = cells.select(
+    return text.select(
         *keep,
         "label",
         "updated",
         "position",
-        key.alias("dimensions"),
+        "dimensions",
         F.coalesce(F.col("cell.values"), F.lit("null")).alias("value_json"),
         decimal_number("cell.values").alias("value_numeric"),
         F.col("cell.statuses").alias("status_code"),
         F.col("cell.values").isNull().alias("is_missing"),
+        "dimension_key_json",
+        F.sha2("dimension_key_json", 256).alias("dimension_key_sha256"),
     )
-    text = keyed.withColumn("dimension_key_json", F.to_json("dimensions"))
-    return text.withColumn("dimension_key_sha256", F.sha2("dimension_key_json", 256))
 
 
 # --- wide TSV ---------------------------------------------------------------------------
@@ -238,42 +275,64 @@ def decode_wide_tsv(
     fits = (
         (F.col("axis") == "TIME_PERIOD")
         & (F.size("names") == F.size("codes"))
+        & (F.size("periods") > 0)
         & (F.size("periods") == F.size("cells"))
         & F.forall("codes", lambda c: c != "")
     )
-    parsed = parsed.where(F.assert_true(F.coalesce(fits, F.lit(False)), "line does not fit its header").isNull())
+    checked = F.when(F.coalesce(fits, F.lit(False)), F.arrays_zip("periods", "cells")).otherwise(
+        F.raise_error(F.lit("line does not fit its header"))
+    )
     carried = [*keep, *(["source_row_number"] if line_number else [])]
-    series = parsed.select(
+    # The key of a cell is the key of its series with the period put in its sorted place.
+    named = F.array_sort(F.arrays_zip("names", "codes"))
+    piece = lambda k, v: F.regexp_extract(F.to_json(F.create_map(k, v)), r"(?s)^\{(.*)\}$", 1)
+
+    def joined(part: Column) -> Column:
+        return F.array_join(F.transform(part, lambda s: piece(s["names"], s["codes"])), ",")
+
+    prepared = parsed.select(*carried, named.alias("series"), checked.alias("cells")).select(
         *carried,
-        F.arrays_zip("names", "codes").alias("series"),
-        F.posexplode(F.arrays_zip("periods", "cells")).alias("at", "cell"),
+        "series",
+        "cells",
+        joined(F.filter("series", lambda s: s["names"] < "time")).alias("key_head"),
+        joined(F.filter("series", lambda s: s["names"] > "time")).alias("key_tail"),
     )
+    series = prepared.select(*carried, "series", "key_head", "key_tail", F.posexplode_outer("cells").alias("at", "cell"))
     # Any white space may pad a cell or stand between value and flag.
     text = F.regexp_replace(F.col("cell.cells"), r"^\s+|\s+$", "")
-    value = F.regexp_extract(text, r"^(\S*)", 1)
-    flag = F.nullif(F.trim(F.regexp_extract(text, r"^\S+\s+(.*)$", 1)), F.lit(""))
-    split_cells = series.select(*carried, "series", "at", F.col("cell.periods").alias("period_key"), value.alias("value_text"), flag.alias("status_code"))
-    known = ~F.col("value_text").isin("", ":")
-    numeric = decimal_number("value_text")
-    in_range = numeric.isNotNull() & (F.abs(numeric) != F.lit(float("inf")))
-    split_cells = split_cells.where(F.assert_true(~known | in_range, "cell is not a finite number").isNull())
-    entries = F.concat(
-        F.transform("series", lambda s: F.struct(s["names"].alias("k"), s["codes"].alias("v"))),
-        F.array(F.struct(F.lit("time").alias("k"), F.col("period_key").alias("v"))),
+    parts = F.regexp_replace(text, r"\s+", " ")
+    split_cells = series.select(
+        *carried,
+        "series",
+        F.col("cell.periods").alias("period_key"),
+        (F.col("at") + 1).alias("source_period_position"),
+        F.concat(
+            F.lit("{"), F.concat_ws(",", F.nullif("key_head", F.lit("")), piece(F.lit("time"), F.col("cell.periods")), F.nullif("key_tail", F.lit(""))), F.lit("}")
+        ).alias("dimension_key_json"),
+        F.substring_index(parts, " ", 1).alias("value_text"),
+        F.when(F.contains(parts, F.lit(" ")), F.regexp_extract(text, r"^\S+\s+(.*)$", 1)).alias("status_code"),
     )
-    keyed = split_cells.select(
+    known = ~F.col("value_text").isin("", ":")
+    numbered = split_cells.select("*", decimal_number("value_text").alias("_number"))
+    finite = F.col("_number").isNotNull() & (F.abs("_number") != F.lit(float("inf")))
+    return numbered.select(
         *carried,
-        F.map_from_entries(F.array_sort(entries)).alias("dimensions"),
+        F.map_concat(
+            F.map_from_arrays(F.transform("series", lambda s: s["names"]), F.transform("series", lambda s: s["codes"])),
+            F.create_map(F.lit("time"), "period_key"),
+        ).alias("dimensions"),
         "period_key",
         "value_text",
-        F.when(known, numeric).alias("value_numeric"),
+        F.when(known & finite, F.col("_number"))
+        .when(known, F.raise_error(F.lit("cell is not a finite number")).cast("double"))
+        .alias("value_numeric"),
         "status_code",
         (~known).alias("is_missing"),
         F.when(F.col("value_text") == "", F.lit("empty")).when(F.col("value_text") == ":", F.lit("colon")).alias("missing_reason"),
-        (F.col("at") + 1).alias("source_period_position"),
+        "source_period_position",
+        "dimension_key_json",
+        F.sha2("dimension_key_json", 256).alias("dimension_key_sha256"),
     )
-    text_key = keyed.withColumn("dimension_key_json", F.to_json("dimensions"))
-    return text_key.withColumn("dimension_key_sha256", F.sha2("dimension_key_json", 256))
 
 
 # --- feature arrays ---------------------------------------------------------------------

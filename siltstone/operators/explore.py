@@ -25,11 +25,11 @@ def _numeric(df: DataFrame, column: str) -> Column:
 # --- profiles ---------------------------------------------------------------------------
 
 
-def summarize(df: DataFrame, approximate: bool = True) -> DataFrame:
+def summarize(df: DataFrame, approximate: bool = True, accuracy: int = 1000) -> DataFrame:
     """One row per column: type, bounds, distinct count, mean, deviation, quartiles, fill.
 
     Everything comes from one aggregation over one scan. Distinct counts and quartiles are
-    sketches, as the name of this report promises; ``approximate=False`` leaves them out.
+    sketches, good to 1 / ``accuracy`` in rank; ``approximate=False`` leaves them out.
     """
     aggregates, rows = [F.count(F.lit(1)).alias("_n")], []
     for i, field in enumerate(df.schema.fields):
@@ -44,7 +44,7 @@ def summarize(df: DataFrame, approximate: bool = True) -> DataFrame:
             "filled": F.count(c),
         }
         if approximate:
-            sketch = F.percentile_approx(c.cast("double"), F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)]))
+            sketch = F.percentile_approx(c.cast("double"), F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)]), accuracy)
             parts["approx_unique"] = F.approx_count_distinct(c) if orderable else F.lit(None).cast("long")
             parts["quartiles"] = sketch if numeric else F.lit(None).cast("array<double>")
         aggregates += [

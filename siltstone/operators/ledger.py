@@ -128,7 +128,7 @@ def revision_ledger(
     look_back: Sequence[str] = (),
     hash_column: str = "canonical_record_sha256",
     order_by_text: bool = False,
-    chunk: Column | None = None,
+    chunk: Column | str | None = None,
 ) -> DataFrame:
     """One row per distinct version of each record.
 
@@ -199,7 +199,7 @@ def revision_runs(
     evidence: Mapping[str, str] | None = None,
     events: Sequence[tuple[str, str]],
     default_event: str = "observed_metadata_changed",
-    chunk: Column | None = None,
+    chunk: Column | str | None = None,
 ) -> DataFrame:
     """One row per run of equal consecutive states, so a state that returns is a new revision.
 
@@ -324,7 +324,8 @@ def change_events(
     """Value changes, metadata changes, disappearances and returns between responses.
 
     Only responses that still carry the publication (``scope``) are compared; a response
-    without it proves nothing about its members. Every event follows from two consecutive
+    without it proves nothing about its members. A record has at most one row per retained
+    response of its publication, and that bounds every ordered group here. Every event follows from two consecutive
     sightings of a record and the responses next to them: no timeline of absent steps is
     built. ``records`` holds one row per (scope, member, sequence). ``record`` gives the
     field order of the hashed canonical record.

@@ -106,8 +106,13 @@ def repeated_cells(cells: DataFrame) -> DataFrame:
 STATE = ["value_json", "status_code", "is_missing", "source_updated_at"]
 
 
-def observation_revisions(observations: DataFrame, chunk: Column | None = None) -> DataFrame:
-    """Runs of equal consecutive states of every cell."""
+def observation_revisions(observations: DataFrame, chunk: Column | str | None = None) -> DataFrame:
+    """Runs of equal consecutive states of every cell.
+
+    Observations are scanned in chunks of one retrieval day unless another ``chunk`` is given,
+    so a cell with very many responses is spread over tasks.
+    """
+    chunk = F.col("retrieved_at_utc").cast("date") if chunk is None else chunk
     return revision_runs(
         observations,
         keys=["dataset_id", "dimension_key_sha256"],
@@ -240,7 +245,7 @@ def mart_coverage(fact: DataFrame, full_source: DataFrame) -> DataFrame:
     )
 
 
-def build(envelopes: DataFrame, full_source: DataFrame, chunk: Column | None = None) -> dict[str, DataFrame]:
+def build(envelopes: DataFrame, full_source: DataFrame, chunk: Column | str | None = None) -> dict[str, DataFrame]:
     """All tables of this source from its cube envelopes."""
     bronze = bronze_observations(envelopes)
     revisions = observation_revisions(bronze, chunk)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from siltstone.functions.records import field, iso_timestamp
 from siltstone.functions.text import concat_skip_null, joined_label, ratio
 from siltstone.operators.coverage import one_row, side_by_side
-from siltstone.operators.decode import decode_catalogue_detail, decode_json_items
+from siltstone.operators.decode import decode_catalogue_detail, decode_json_items, explode_rows
 from siltstone.operators.dimensions import (
     attribute_pivot,
     bilingual_current,
@@ -146,8 +146,8 @@ def bronze_observations(envelopes: DataFrame) -> DataFrame:
     bodies = _responses(envelopes).where("task_kind = 'data_by_variable'").select(
         *keep, F.from_json("payload_utf8", OBSERVATION_BODY, {"mode": "FAILFAST"}).alias("b")
     )
-    units = bodies.select(*keep, "b", F.explode("b.results").alias("u"))
-    values = units.select(
+    units = explode_rows(bodies, "b.results", "u")
+    values = explode_rows(units, "u.values", "source_record_json").select(
         *keep,
         F.col("b.totalRecords").alias("source_universe_total"),
         F.col("b.variableId").alias("variable_id"),
@@ -156,7 +156,7 @@ def bronze_observations(envelopes: DataFrame) -> DataFrame:
         F.col("b.lastUpdate").try_cast("timestamp").alias("source_last_update_at"),
         F.col("u.id").alias("unit_id"),
         F.col("u.name").alias("unit_name"),
-        F.explode("u.values").alias("source_record_json"),
+        "source_record_json",
     )
     return values.select(
         *[c for c in values.columns if c != "source_record_json"],
@@ -195,8 +195,12 @@ def observation_rules(observations: DataFrame) -> DataFrame:
 OBSERVATION_KEY = ["variable_id", "unit_id", "period_key", "attr_id"]
 
 
-def observation_revisions(observations: DataFrame, chunk: Column | None = None) -> DataFrame:
-    """Distinct versions of every observation."""
+def observation_revisions(observations: DataFrame, chunk: Column | str | None = None) -> DataFrame:
+    """Distinct versions of every observation.
+
+    Versions are scanned in chunks of one first-seen day unless another ``chunk`` is given.
+    """
+    chunk = F.col("first_seen_at_utc").cast("date") if chunk is None else chunk
     plain = ["value_numeric", "value_formatted", "precision", "measure_unit_id", "aggregate_id"]
     ledger = revision_ledger(
         observations,
@@ -445,7 +449,7 @@ def mart_coverage(envelopes: DataFrame, bronze_variables: DataFrame, variables:
     )
 
 
-def build(envelopes: DataFrame, chunk: Column | None = None) -> dict[str, DataFrame]:
+def build(envelopes: DataFrame, chunk: Column | str | None = None) -> dict[str, DataFrame]:
     """All tables of this source from its envelopes."""
     bronze = {w: bronze_catalogue(envelopes, w) for w in KINDS}
     entries, observed = bronze_dictionary_entries(envelopes), bronze_observations(envelopes)

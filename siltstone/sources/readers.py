@@ -25,6 +25,16 @@ def scan_parquet(spark: SparkSession, *paths: str, merge: bool = True, file_colu
     return df if file_column is None else df.withColumn(file_column, F.col("_metadata.file_path"))
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread a plain scan over the cores if its files give fewer tasks than there are cores.
+
+    For work that is heavy per row (decoding, sketches) behind files that do not split.
+    Where the scan has tasks enough, as over many files, the frame is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_drifted_nested(spark: SparkSession, paths: Sequence[str], nested: Sequence[str], file_column: str | None = None) -> DataFrame:
     """Files whose nested columns differ in type, united after turning those columns to JSON text.
 

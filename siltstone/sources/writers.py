@@ -22,7 +22,8 @@ def write_partitioned(df: DataFrame, path: str, key: str, mode: str = "overwrite
     """
     spread = df.withColumn("_part", F.col(key)).hint("rebalance", "_part")
     spread.write.mode(mode).option("compression", "zstd").option("maxRecordsPerFile", max_rows_per_file).partitionBy("_part").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The declared schema keeps folder names from being read as numbers ("02" is no 2).
+    return df.sparkSession.read.schema(spread.schema).parquet(path)
 
 
 def write_by_decade(
@@ -36,13 +37,13 @@ def write_by_decade(
     decade = (F.floor(F.col(year) / 10) * 10).cast("int")
     ranged = df.withColumn("decade", decade).hint("rebalance", "decade").sortWithinPartitions("decade", year)
     ranged.write.mode(mode).option("compression", "zstd").option("maxRecordsPerFile", max_rows_per_file).partitionBy("decade").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(ranged.schema).parquet(path)
 
 
-def export_result(df: DataFrame, path: str, fmt: str, single_file: bool = True) -> None:
+def export_result(df: DataFrame, path: str, fmt: str, single_file: bool = False) -> None:
     """A result as CSV (with header), JSON or Parquet.
 
-    One file is for results meant to be looked at; pass ``single_file=False`` for large ones.
+    ``single_file`` writes one file from one task; it is for short results meant to be looked at.
     """
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode("overwrite")

@@ -17,7 +17,9 @@ from siltstone.operators.decode import (
 from siltstone.operators.dimensions import code_dimension, date_spine, fact_with_dimensions
 from siltstone.operators.ledger import guarded_current
 from siltstone.operators.reshape import map_by_synonyms, pivot_series, unpivot_matrix, unpivot_years
-from siltstone.sources.readers import fold_extra_columns
+from siltstone.sources.catalog import materialize
+from siltstone.sources.readers import fold_extra_columns, spread_scan
+from siltstone.sources.scratch import scratch_path
 from siltstone.suite.registry import query, table
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -44,7 +46,7 @@ def _quote_envelopes(spark: SparkSession, folder: str) -> DataFrame:
             quote("QTY", "l_quantity"), quote("PRC", "l_extendedprice"), quote("DSC", "l_discount"), quote("TAX", "l_tax")
         ).alias("rates"),
     )
-    return table(spark, folder, "lineitem").select(
+    return spread_scan(table(spark, folder, "lineitem")).select(
         F.lit("quotes_a").alias("source_id"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ingestion_sequence"),
         F.col("l_partkey").alias("batch_id"),
@@ -86,7 +88,7 @@ def _decode_batches(spark, folder):
 def quote_report(spark: SparkSession, folder: str) -> DataFrame:
     """Envelopes -> quotes -> guarded current value per day and code -> star report."""
     decoded = _quotes(spark, folder)
-    current = guarded_current(
+    guarded = guarded_current(
         decoded,
         source=["source_id", "batch_id"],
         identity=["effective_date", "code"],
@@ -96,8 +98,10 @@ def quote_report(spark: SparkSession, folder: str) -> DataFrame:
         evidence=["no"],
         newest=["batch_id", "mid"],
     )
-    labels = code_dimension([decoded.select("code", F.concat(F.lit("quote "), "code").alias("label"))], "code", "label", "PLN")
-    days = date_spine(decoded.select("effective_date"))
+    # Stored once: the fact and both dimensions read it, and decoding is the costly part.
+    current = materialize(guarded, "table", scratch_path(spark, "current-quotes"))
+    labels = code_dimension([current.select("code", F.concat(F.lit("quote "), "code").alias("label"))], "code", "label", "PLN")
+    days = date_spine(current.select("effective_date"))
     return (
         fact_with_dimensions(
             current.where("code = 'PRC' and source_table = 'A'"),
@@ -197,7 +201,8 @@ def _cubes(spark: SparkSession, folder: str) -> DataFrame:
         F.col("status"),
         F.lit("}}"),
     )
-    return per_user.select("user_id", body.alias("payload"))
+    # Bodies are small beside their cells: keep adaptive execution from packing them into one task.
+    return per_user.select("user_id", body.alias("payload")).repartition(spark.sparkContext.defaultParallelism)
 
 
 @query(
@@ -258,7 +263,7 @@ def _decode_wide_tsv(spark, folder):
         *[F.coalesce(F.col(f"`{d}`"), F.lit(": m")) for d in days],
     )
     header = "freq,unit,geo\\TIME_PERIOD\t" + "\t".join(f"{d} " for d in days)
-    lines = wide.select(line.alias("line"), F.lit(header).alias("header"))
+    lines = wide.select(line.alias("line")).repartition(spark.sparkContext.defaultParallelism).withColumn("header", F.lit(header))
     return decode_wide_tsv(lines, "line", "header").select(
         F.element_at("dimensions", "unit").alias("unit_code"),
         F.element_at("dimensions", "geo").alias("geo_code"),

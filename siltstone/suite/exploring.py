@@ -21,6 +21,7 @@ from siltstone.operators.explore import (
     table_row_counts,
     topk_values,
 )
+from siltstone.sources.readers import spread_scan
 from siltstone.suite.registry import query, table
 
 MONEY = "decimal(18,2)"
@@ -85,7 +86,7 @@ def _summarize(spark, folder):
 
 @query("summarize_sketches")
 def _summarize_sketches(spark, folder):
-    return summarize(table(spark, folder, "lineitem"))
+    return summarize(spread_scan(table(spark, folder, "lineitem")))
 
 
 @query(
