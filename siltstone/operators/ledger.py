@@ -20,13 +20,24 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siltstone.functions.records import canonical_json, differs, record_hash
 from siltstone.functions.text import any_zero, as_column
-from siltstone.operators.keyed import dedup_tiebreak, latest_per_key
+from siltstone.operators.keyed import latest_per_key
 from siltstone.operators.ordered import annotate_sequence, number_runs
 
 
 # --- conflicts and current values -------------------------------------------------------
 
 
+def _disagreement(measures: Sequence[str], null_is_value: bool) -> Column:
+    """Aggregate: do the rows of a group disagree on any measure?"""
+    disagree = F.lit(False)
+    for name in measures:
+        spread = F.coalesce(F.min(name) != F.max(name), F.lit(False))
+        if null_is_value:
+            spread = spread | ((F.count(name) > 0) & (F.count(name) < F.count(F.lit(1))))
+        disagree = disagree | spread
+    return disagree
+
+
 def conflicting_keys(
     df: DataFrame, keys: Sequence[str], measures: Sequence[str], null_is_value: bool = True
 ) -> DataFrame:
@@ -36,13 +47,8 @@ def conflicting_keys(
     too. Comparing min with max gives the same answer as counting distinct values and
     combines before the shuffle.
     """
-    disagree = F.lit(False)
-    for name in measures:
-        spread = F.coalesce(F.min(name) != F.max(name), F.lit(False))
-        if null_is_value:
-            spread = spread | ((F.count(name) > 0) & (F.count(name) < F.count(F.lit(1))))
-        disagree = disagree | spread
-    return df.groupBy(*keys).agg(disagree.alias("_conflict")).where("_conflict").drop("_conflict")
+    marked = df.groupBy(*keys).agg(_disagreement(measures, null_is_value).alias("_conflict"))
+    return marked.where("_conflict").drop("_conflict")
 
 
 def fold_replays(
@@ -53,13 +59,11 @@ def fold_replays(
     ``agree_on`` names measures that must not disagree inside a key: the check rides on the
     same aggregation and fails the query when the rows are read.
     """
-    conflict = F.lit(False)
-    for name in agree_on:
-        conflict = conflict | F.coalesce(F.min(name) != F.max(name), F.lit(False))
-    folded = df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in columns], conflict.alias("_conflict"))
-    if agree_on:
-        folded = folded.where(F.assert_true(~F.col("_conflict"), message or "conflicting source values").isNull())
-    return folded.drop("_conflict")
+    conflict = _disagreement(agree_on, null_is_value=False).alias("_conflict")
+    folded = df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in columns], *([conflict] if agree_on else []))
+    if not agree_on:
+        return folded
+    return folded.where(F.assert_true(~F.col("_conflict"), message or "conflicting source values").isNull()).drop("_conflict")
 
 
 def guarded_current(
@@ -101,16 +105,14 @@ def guarded_dedup(
 
     With ``null_is_value`` a NULL measure beside a filled one is a conflict as well.
 
-    Each distinct (identity, labels, measures) combination is folded to one row first, so
-    the guard and the tie-break both work on what is left after map-side combining.
+    Filled labels win over missing ones, then the smallest label, then the smallest measure.
+    Guard and choice are one aggregation: the smallest struct of (is NULL, value) pairs is the
+    row a sort with NULLs last would put first.
     """
-    columns = [*identity, *labels, *measures]
-    variants = df.select(*columns).distinct()
-    conflicts = conflicting_keys(variants, identity, measures, null_is_value)
-    alarmed = variants.join(conflicts.withColumn("_conflict", F.lit(True)), list(identity), "left").where(
-        F.assert_true(F.col("_conflict").isNull(), message).isNull()
-    )
-    return dedup_tiebreak(alarmed.drop("_conflict"), identity, labels, measures).select(*columns)
+    ranked = F.min(F.struct(*[x for c in (*labels, *measures) for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]))
+    picked = df.groupBy(*identity).agg(_disagreement(measures, null_is_value).alias("_conflict"), ranked.alias("_row"))
+    sound = picked.where(F.assert_true(~F.col("_conflict"), message).isNull())
+    return sound.select(*identity, *[F.col(f"_row.{c}").alias(c) for c in (*labels, *measures)])
 
 
 # --- version ledger ---------------------------------------------------------------------
@@ -132,8 +134,8 @@ def revision_ledger(
 ) -> DataFrame:
     """One row per distinct version of each record.
 
-    ``record`` names the fields of the canonical record (name -> column); versions are equal
-    when their canonical JSON is. Versions are numbered by first sighting; the current one
+    ``record`` names the fields of the canonical record (name -> column), the ``keys`` among
+    them; versions are equal when their canonical JSON is. Versions are numbered by first sighting; the current one
     is the one seen last. ``events`` lists (label, fields): the first entry with a changed
     field classifies the version. ``evidence`` maps output suffixes to columns of which the
     smallest and largest value are kept. ``look_back`` adds fields whose previous value is
@@ -141,21 +143,24 @@ def revision_ledger(
     and not by its hash.
     """
     fields = list(record)
+    kept = dict(evidence or {})
     shaped = df.select(
-        *[c for c in df.columns if c not in record],
         *[as_column(expr).alias(name) for name, expr in record.items()],
-    ).withColumn("canonical_record_json", canonical_json(fields))
-    kept = {suffix: column for suffix, column in (evidence or {}).items()}
+        F.col(seen_at).alias("_seen"),
+        *[F.col(c).alias(f"_ev_{s}") for s, c in kept.items()],
+    )
+    # Equal fields are equal JSON: rows are folded by their fields, and the text is written
+    # once per version instead of once per row.
     versions = (
-        shaped.groupBy(*[c for c in keys if c not in fields], "canonical_record_json")
+        shaped.groupBy(*fields)
         .agg(
-            *[F.min(c).alias(c) for c in fields],
-            F.min(seen_at).alias("first_seen_at_utc"),
-            F.max(seen_at).alias("last_seen_at_utc"),
+            F.min("_seen").alias("first_seen_at_utc"),
+            F.max("_seen").alias("last_seen_at_utc"),
             F.count(F.lit(1)).alias("replayed_response_count"),
-            *[F.min(c).alias(f"first_{s}") for s, c in kept.items()],
-            *[F.max(c).alias(f"last_{s}") for s, c in kept.items()],
+            *[F.min(f"_ev_{s}").alias(f"first_{s}") for s in kept],
+            *[F.max(f"_ev_{s}").alias(f"last_{s}") for s in kept],
         )
+        .withColumn("canonical_record_json", canonical_json(fields))
         .withColumn(hash_column, record_hash("canonical_record_json"))
     )
     tie = "canonical_record_json" if order_by_text else hash_column

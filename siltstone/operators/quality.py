@@ -139,14 +139,12 @@ def value_reconciliation(
 ) -> DataFrame:
     """Class of each requested value against the bulk data (``outcome``).
 
-    Only bulk keys that were asked for are indexed; a key with several bulk rows is reported
-    as ambiguous and never resolved by picking one.
+    A key with several bulk rows is reported as ambiguous and never resolved by picking one.
+    The bulk data is folded to one row per key before it meets the requests, so a key with
+    very many bulk rows is combined where it lies; requests for one hot key are split by
+    adaptive execution, because the other side is unique.
     """
-    index = (
-        bulk.join(requested.select(*keys).distinct(), list(keys), "left_semi")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min(bulk_value).alias("_bulk"))
-    )
+    index = bulk.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(bulk_value).alias("_bulk"))
     joined = requested.join(index, list(keys), "left")
     mine, theirs = F.trim(F.col(value)), F.trim(F.col("_bulk"))
     odd = "(?i)^[+-]?(nan|inf|infinity)$"
