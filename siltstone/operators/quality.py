@@ -186,9 +186,13 @@ def rule_violations(df: DataFrame, keys: Sequence[str], rules: Mapping[str, Colu
 
 
 def repeated_in_group(df: DataFrame, group: Sequence[str], keys: Sequence[str], rule: str) -> DataFrame:
-    """Uniqueness rule: the rows whose key repeats inside its group, one violation each."""
-    repeated = duplicate_keys(df, [*group]).select(*group)
-    return df.join(repeated, list(group), "left_semi").select(*keys, F.lit(rule).alias("rule"))
+    """Uniqueness rule: the rows whose key repeats inside its group, one violation each.
+
+    Members of the key that are NULL count as equal.
+    """
+    packed = df.withColumn("_group", F.struct(*group))
+    repeated = duplicate_keys(packed, ["_group"]).select("_group")
+    return packed.join(repeated, "_group", "left_semi").select(*keys, F.lit(rule).alias("rule"))
 
 
 def page_checks(df: DataFrame, page: str, pages: str, per_page: str, total: str, rows: str) -> DataFrame:

@@ -6,10 +6,13 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from siltstone.functions.records import field
 from siltstone.functions.text import clean_text, decimal_number, ratio
 from siltstone.operators.coverage import one_row, side_by_side
+from siltstone.operators.decode import explode_rows
 from siltstone.operators.dimensions import attach_evidence
 from siltstone.operators.keyed import first_per_key
+from siltstone.operators.quality import page_checks, repeated_in_group, rule_violations, value_reconciliation
 from siltstone.operators.reshape import unpivot_years
 
 # Headings of the archive members and the columns they become.
@@ -147,6 +150,100 @@ def mart_coverage(evidence: DataFrame, countries: DataFrame, series: DataFrame,
     return totals.withColumn("modeled_value_coverage_ratio", ratio("modeled_observation_total", "source_value_total"))
 
 
+# --- retained API responses against the bulk archive -------------------------------------
+
+# The API's source number for these indicators, and its region of aggregates.
+API_SOURCE, API_AGGREGATE_REGION = "2", "NA"
+API_ROW = (
+    "array<struct<indicator: struct<id: string>, country: struct<id: string>, countryiso3code: string, date: string, "
+    "value: string, unit: string, obs_status: string, `decimal`: string>>"
+)
+API_INDICATOR = "array<struct<id: string, name: string, source: struct<id: string>>>"
+API_COUNTRY = "array<struct<id: string, name: string, region: struct<id: string>>>"
+
+
+def api_pages(responses: DataFrame) -> DataFrame:
+    """Paging numbers of every response (``raw_sha256``, ``body``), with their fault if any."""
+    def number(name: str):
+        return field("body", f"$[0].{name}", "int").alias(name)
+
+    rows = F.json_array_length(F.get_json_object("body", "$[1]"))
+    pages = responses.select("raw_sha256", *[number(n) for n in ("page", "pages", "per_page", "total")], F.coalesce(rows, F.lit(0)).alias("rows"))
+    return page_checks(pages, "page", "pages", "per_page", "total", "rows")
+
+
+def _api_rows(responses: DataFrame, schema: str) -> DataFrame:
+    parsed = responses.select("raw_sha256", F.from_json(F.get_json_object("body", "$[1]"), schema, {"mode": "FAILFAST"}).alias("rows"))
+    return explode_rows(parsed, "rows", "row")
+
+
+def api_observations(responses: DataFrame) -> DataFrame:
+    """Observations of retained API responses, values as the text of the response."""
+    return _api_rows(responses, API_ROW).select(
+        "raw_sha256",
+        F.col("row.countryiso3code").alias("country_iso3code"),
+        F.col("row.countryiso3code").alias("country_code"),
+        F.col("row.country.id").alias("country_id"),
+        F.col("row.indicator.id").alias("indicator_code"),
+        F.col("row.date").alias("period"),
+        F.col("row.date").try_cast("int").alias("observation_year"),
+        F.col("row.value").alias("api_value"),
+        F.col("row.decimal").alias("decimals"),
+    )
+
+
+def api_observation_rules(rows: DataFrame, start_year: int = 0, end_year: int = 9999) -> DataFrame:
+    """Broken input rules of API observations, one row per (record, rule)."""
+    def blank(name: str):
+        return F.coalesce(name, F.lit("")) == ""
+
+    return rule_violations(
+        rows,
+        ["raw_sha256", "country_id", "indicator_code", "period"],
+        {
+            "source_keys_invalid": blank("country_id") | blank("indicator_code"),
+            "period_not_a_year": ~F.coalesce(F.col("period").rlike("^[0-9]+$"), F.lit(False)),
+            "period_out_of_range": ~F.col("observation_year").between(start_year, end_year),
+            "value_not_numeric": F.col("api_value").isNotNull() & decimal_number("api_value").isNull(),
+            "decimal_not_integer": F.col("decimals").isNotNull() & F.col("decimals").try_cast("int").isNull(),
+        },
+    )
+
+
+def api_catalogue_rules(indicators: DataFrame, countries: DataFrame) -> DataFrame:
+    """Broken rules of indicator and country responses, one row per (record, rule)."""
+    wanted = _api_rows(indicators, API_INDICATOR).select("raw_sha256", F.lit("indicator").alias("kind"), F.col("row.id").alias("id"), F.col("row.name").alias("name"), F.col("row.source.id").alias("parent"))
+    places = _api_rows(countries, API_COUNTRY).select("raw_sha256", F.lit("country").alias("kind"), F.col("row.id").alias("id"), F.col("row.name").alias("name"), F.col("row.region.id").alias("parent"))
+    rows = wanted.unionByName(places)
+    keys = ["raw_sha256", "kind", "id"]
+    single = rule_violations(
+        rows,
+        keys,
+        {
+            "id_required": F.coalesce("id", F.lit("")) == "",
+            "name_required": F.col("name").isNull(),
+            "foreign_source": (F.col("kind") == "indicator") & ~F.coalesce(F.col("parent") == API_SOURCE, F.lit(False)),
+            "region_required": (F.col("kind") == "country") & F.col("parent").isNull(),
+        },
+    )
+    return single.unionByName(repeated_in_group(rows, keys, keys, "repeated_id"))
+
+
+def api_country_kinds(countries: DataFrame) -> DataFrame:
+    """Economies and aggregates among the country entities."""
+    region = F.col("row.region.id")
+    return _api_rows(countries, API_COUNTRY).agg(
+        F.count_if(region != API_AGGREGATE_REGION).alias("economies"), F.count_if(region == API_AGGREGATE_REGION).alias("aggregates")
+    )
+
+
+def api_against_bulk(rows: DataFrame, data: DataFrame) -> DataFrame:
+    """Outcome of every API value against the bulk values."""
+    keys = ["country_code", "indicator_code", "observation_year"]
+    asked = rows.select("raw_sha256", "country_iso3code", *keys, "api_value")
+    return value_reconciliation(asked, data, keys, "api_value", "observation_value_text", required="country_iso3code")
+
+
 def build(members: Mapping[str, DataFrame], evidence: DataFrame) -> dict[str, DataFrame]:
     """All tables of this source; ``members`` holds the CSV members ``data``, ``country``, ``series`` and others."""
     data = bronze_data(members["data"])

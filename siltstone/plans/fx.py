@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltstone.operators.decode import decode_envelopes
 from siltstone.operators.dimensions import code_dimension, date_spine
-from siltstone.operators.ledger import change_events, fold_replays, guarded_current, guarded_dedup
-from siltstone.operators.quality import rule_violations
+from siltstone.operators.ledger import change_events, conflicting_keys, fold_replays, guarded_current, guarded_dedup
+from siltstone.operators.quality import repeated_in_group, rule_violations
 from siltstone.functions.text import is_finite
 
 # Source ids, table letters, and keys of the published facts.
@@ -222,6 +222,21 @@ def quote_rules(bronze: DataFrame, table: str) -> DataFrame:
     return rule_violations(bronze, ["source_id", "batch_id", "effective_date", "code"], rules)
 
 
+def contradictory_quotes(bronze: DataFrame) -> DataFrame:
+    """Quotations one response repeats with other measures, number or trading date."""
+    return conflicting_keys(bronze, ["source_id", "batch_id", "effective_date", "code"], ["mid", "bid", "ask", "no", "trading_date"])
+
+
+def gold_rules(bronze: DataFrame) -> DataFrame:
+    """Broken input rules of gold prices, one row per (record, rule)."""
+    keys = ["source_id", "batch_id", "effective_date"]
+    price = F.col("price_pln_per_gram")
+    single = rule_violations(
+        bronze, keys, {"price_not_positive": price.isNull() | (price <= 0), "effective_date_required": F.col("effective_date").isNull()}
+    )
+    return single.unionByName(repeated_in_group(bronze, keys, keys, "repeated_date"))
+
+
 def fact_fx_quotes(*current: DataFrame) -> DataFrame:
     stacked = current[0]
     for more in current[1:]:

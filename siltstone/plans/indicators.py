@@ -18,7 +18,7 @@ from siltstone.operators.dimensions import (
 )
 from siltstone.operators.keyed import latest_per_key
 from siltstone.operators.ledger import revision_ledger
-from siltstone.operators.quality import rule_violations
+from siltstone.operators.quality import repeated_in_group, rule_violations
 
 # The source id and the task kinds of its responses.
 SOURCE = "gus_bdl"
@@ -169,6 +169,9 @@ def bronze_observations(envelopes: DataFrame) -> DataFrame:
     )
 
 
+OBSERVATION_KEY = ["variable_id", "unit_id", "period_key", "attr_id"]
+
+
 def observation_rules(observations: DataFrame) -> DataFrame:
     """Broken input rules of observations, one row per (record, rule)."""
     def negative(name: str) -> Column:
@@ -176,9 +179,12 @@ def observation_rules(observations: DataFrame) -> DataFrame:
 
     has_val = field("source_record_json", "$.val").isNotNull()
     has_value = field("source_record_json", "$.value").isNotNull()
-    return rule_violations(
+    keys = ["task_id", "variable_id", "unit_id", "period_key", "attr_id"]
+    page = ["task_id", "response_sha256"]
+    repeated = repeated_in_group(observations, [*page, *OBSERVATION_KEY], keys, "repeated_observation_grain")
+    single = rule_violations(
         observations,
-        ["task_id", "variable_id", "unit_id", "period_key", "attr_id"],
+        keys,
         {
             "unit_id_not_12_digits": ~F.coalesce(F.col("unit_id").rlike("^[0-9]{12}$"), F.lit(False)),
             "period_required": F.coalesce("period_key", F.lit("")) == "",
@@ -190,9 +196,7 @@ def observation_rules(observations: DataFrame) -> DataFrame:
             "negative_aggregate": negative("aggregate_id"),
         },
     )
-
-
-OBSERVATION_KEY = ["variable_id", "unit_id", "period_key", "attr_id"]
+    return single.unionByName(repeated)
 
 
 def observation_revisions(observations: DataFrame, chunk: Column | str | None = None) -> DataFrame:

@@ -32,6 +32,11 @@ def register_layer(spark: SparkSession, layer: str, tables: Mapping[str, str | S
     return out
 
 
+def layer_tables(spark: SparkSession, layer: str) -> dict[str, DataFrame]:
+    """The registered tables of a layer by name, for listings and row counts."""
+    return {t.name: spark.table(f"`{layer}`.`{t.name}`") for t in spark.catalog.listTables(layer) if not t.isTemporary}
+
+
 def layer_views(spark: SparkSession, layer: str, tables: Mapping[str, DataFrame]) -> None:
     """Session views ``layer__table`` over frames that are not materialised."""
     for name, df in tables.items():

@@ -293,6 +293,14 @@ def inventory_digest(inventory: DataFrame, by: Sequence[str] = (), name: str = "
     )
 
 
+def require_inventory(inventory: DataFrame, expected: Mapping[str, object]) -> None:
+    """Fail unless the digests (and the number of files) are the recorded ones."""
+    found = inventory_digest(inventory).first().asDict()
+    wrong = {k: found.get(k) for k, v in expected.items() if found.get(k) != v}
+    if wrong:
+        raise ValueError(f"inventory differs from its record: {wrong}")
+
+
 def first_data_row(df: DataFrame, file_column: str, position: Sequence[str]) -> DataFrame:
     """The first row of every file (key-value sheets that hold one record)."""
     packed = F.struct(*[c for c in df.columns if c != file_column])

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,7 +36,7 @@ def land_new_files(
         fresh = batch.dropDuplicates([hash_column])
         try:
             landed = spark.read.parquet(target)
-        except Exception:  # the first batch finds no table
+        except AnalysisException:  # the first batch finds no table
             landed = None
         if landed is not None:
             fresh = pending_inputs(fresh, landed, hash_column)

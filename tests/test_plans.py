@@ -101,6 +101,24 @@ def test_fx_rules(spark):
     assert rows(fx.quote_rules(bronze, "C"), "code", "rule") == [(" ", "bid_invalid"), (" ", "code_required"), ("USD", "bid_above_ask")]
 
 
+def test_fx_contradictions_and_gold_rules(spark):
+    body = [publication("A", "2024-01-03", rate("USD", mid=5), rate("USD", mid=5), rate("EUR", mid=4), rate("EUR", mid=4.5))]
+    gold = [{"data": "2024-01-03", "cena": 0}, {"data": "2024-01-04", "cena": 5}, {"data": "2024-01-04", "cena": 5}]
+    envelopes = spark.createDataFrame([batch(fx.QUOTE_SOURCES["A"], 1, body), batch(fx.GOLD_SOURCE, 2, gold)], fx.ENVELOPE_SCHEMA)
+    assert rows(fx.contradictory_quotes(fx.bronze_quotes(envelopes, "A")), "code") == [("EUR",)]
+    assert rows(fx.gold_rules(fx.bronze_gold(envelopes)), "rule") == [("price_not_positive",), ("repeated_date",), ("repeated_date",)]
+
+
+def test_replay_gives_the_same_tables(spark):
+    body = lambda mid: [publication("A", "2024-01-02", rate("USD", mid=mid), rate("EUR", mid=4.3))]
+    data = [batch(fx.QUOTE_SOURCES["A"], n, body(4.0 + n % 3)) for n in range(1, 9)] + [batch(fx.QUOTE_SOURCES["C"], 20, [publication("C", "2024-01-02", rate("USD", bid=1, ask=2))])]
+    data.append(batch(fx.GOLD_SOURCE, 21, [{"data": "2024-01-02", "cena": 1}]))
+    one = fx.build(spark.createDataFrame(data, fx.ENVELOPE_SCHEMA))
+    two = fx.build(spark.createDataFrame(data[::-1], fx.ENVELOPE_SCHEMA).repartition(5))
+    for name in ("fact_fx_quotes", "nbp_change_events", "dim_currency"):
+        assert dataset_equivalence(one[name], two[name]).first()["equivalent"], name
+
+
 # --- indicators -------------------------------------------------------------------------
 
 RESPONSE = "source_id string, task_id string, task_kind string, request_json string, retrieved_at_utc timestamp, raw_sha256 string, raw_size_bytes bigint, payload_utf8 string"
@@ -178,6 +196,8 @@ def test_bdl_rules(bdl):
     assert indicators.observation_rules(bdl["br_bdl_observations"]).count() == 0
     broken = bdl["br_bdl_observations"].withColumn("unit_id", F.lit("12")).withColumn("attr_id", F.lit(-1)).limit(1)
     assert rows(indicators.observation_rules(broken), "rule") == [("negative_attribute",), ("unit_id_not_12_digits",)]
+    twice = bdl["br_bdl_observations"].unionByName(bdl["br_bdl_observations"].where("task_id = 'data_by_variable:4' and period_key = '2020'"))
+    assert rows(indicators.observation_rules(twice), "task_id", "rule") == [("data_by_variable:4", "repeated_observation_grain")] * 2
 
 
 # --- archives and warehouse -------------------------------------------------------------
@@ -291,6 +311,31 @@ def test_annual(spark):
     m.validate_grain(m.find_metric("wdi_source_value_total"), built["mart_wdi_coverage"])
 
 
+def test_annual_api_against_bulk(spark):
+    def obs(iso, value, year="1960", country="PL", **more):
+        return {"indicator": {"id": "G"}, "country": {"id": country}, "countryiso3code": iso, "date": year, "value": value, **more}
+
+    def reply(sha, data, **head):
+        return (sha, json.dumps([{"page": 1, "pages": 1, "per_page": 50, "total": len(data), **head}, data]))
+
+    responses = spark.createDataFrame(
+        [reply("s1", [obs("PL", 1.50), obs("", 2), obs("PL", None, "1999"), obs("DE", 3)]), reply("s2", [obs("PL", "x", "abcd", decimal=1)], page=3)], "raw_sha256 string, body string"
+    )
+    pages = rows(annual.api_pages(responses), "raw_sha256", "rows", "page_error")
+    assert pages == [("s1", 4, None), ("s2", 1, "page_beyond_last")]
+    api = annual.api_observations(responses)
+    assert rows(annual.api_observation_rules(api), "rule") == [("period_not_a_year",), ("value_not_numeric",)]
+    data = spark.createDataFrame([("PL", "G", 1960, "1.5"), ("FR", "G", 1960, "9")], "country_code string, indicator_code string, observation_year int, observation_value_text string")
+    got = annual.api_against_bulk(api.where("raw_sha256 = 's1'"), data)
+    assert rows(got, "country_iso3code", "observation_year", "outcome") == [
+        ("", 1960, "missing_country_iso3code"), ("DE", 1960, "missing_bulk_key"), ("PL", 1960, "exact_numeric_match"), ("PL", 1999, "null_api_value_absent_from_bulk"),
+    ]
+    indicators_ = spark.createDataFrame([reply("i", [{"id": "G", "name": "n", "source": {"id": "2"}}, {"id": "G", "name": "n", "source": {"id": "3"}}])], "raw_sha256 string, body string")
+    countries = spark.createDataFrame([reply("c", [{"id": "PL", "name": "Poland", "region": {"id": "ECS"}}, {"id": "WLD", "name": None, "region": {"id": "NA"}}])], "raw_sha256 string, body string")
+    assert rows(annual.api_catalogue_rules(indicators_, countries), "id", "rule") == [("G", "foreign_source"), ("G", "repeated_id"), ("G", "repeated_id"), ("WLD", "name_required")]
+    assert tuple(annual.api_country_kinds(countries).first()) == (1, 1)
+
+
 # --- territory --------------------------------------------------------------------------
 
 

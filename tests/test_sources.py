@@ -79,6 +79,14 @@ def test_inventory(spark, tmp_path):
     assert got["content_inventory_sha256"] == hashlib.sha256(f"a.bin\0{sha['a.bin']}\nb.bin\0{sha['b.bin']}".encode()).hexdigest()
 
 
+def test_inventory_gate(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"one")
+    files = readers.content_inventory(spark, str(tmp_path))
+    readers.require_inventory(files, {"files": 1, "inventory_sha256": hashlib.sha256(b"a.bin").hexdigest()})
+    with pytest.raises(ValueError, match="differs"):
+        readers.require_inventory(files, {"files": 2})
+
+
 def test_json_documents_and_first_row(spark, tmp_path):
     (tmp_path / "d.json").write_text('{\n "a": 1,\n "b": ["x"]\n}')
     assert readers.read_json_documents(spark, str(tmp_path / "d.json")).first().asDict() == {"a": 1, "b": ["x"]}
@@ -126,6 +134,7 @@ def test_layers(spark, tmp_path):
     writers.write_dataset(spark.sql("select 'USD' as code"), path)
     catalog.register_layer(spark, "02_bronze", {"quotes": path})
     assert rows(spark.sql("select code from `02_bronze`.`quotes`")) == [("USD",)]
+    assert [t.count() for t in catalog.layer_tables(spark, "02_bronze").values()] == [1]
     catalog.register_layer(spark, "02_bronze", {"many": [path, path]})
     assert spark.table("02_bronze__many").count() == 2
 
