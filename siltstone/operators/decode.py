@@ -6,6 +6,7 @@ functions and explode: no shuffle, and parallel over the envelopes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -50,26 +51,41 @@ def decode_envelopes(
     return out.select(*keep, *[as_column(expr).alias(name) for name, expr in fields.items()])
 
 
+_MEMBER = re.compile(r"\$\.([A-Za-z_][A-Za-z0-9_]*)")
+
+
+def _picked(item: str, fields: Mapping[str, str]) -> tuple[Column, list[Column]]:
+    """Parsed item and the typed columns picked from it.
+
+    All plain members come from one parse; only deeper paths are looked up one by one.
+    """
+    members = {_MEMBER.fullmatch(spec.split(" ", 1)[1]) for spec in fields.values()}
+    names = sorted({m.group(1) for m in members if m})
+    parsed = F.from_json(item, ", ".join(f"`{n}` string" for n in names) or "`_` string")
+    columns = []
+    for output, spec in fields.items():
+        kind, path = spec.split(" ", 1)
+        member = _MEMBER.fullmatch(path)
+        value = F.col(f"_parsed.{member.group(1)}") if member else F.get_json_object(item, path)
+        columns.append((value if kind == "string" else value.try_cast(kind)).alias(output))
+    return parsed, columns
+
+
+def _read_items(items: DataFrame, fields: Mapping[str, str], keep: Sequence[str | Column], raw: str | None) -> DataFrame:
+    parsed, columns = _picked("_item", fields)
+    out = items.select("*", parsed.alias("_parsed")).select(*keep, *columns, "_item")
+    return out.drop("_item") if raw is None else out.withColumnRenamed("_item", raw)
+
+
 def decode_json_items(
-    df: DataFrame, body: str, path: str | None, fields: Mapping[str, str], keep: Sequence[str | Column] = (), raw: str | None = None
+    df: DataFrame, body: str, path: str, fields: Mapping[str, str], keep: Sequence[str | Column] = (), raw: str | None = None
 ) -> DataFrame:
     """Explode a JSON array whose items vary, keeping each item's exact text.
 
     ``fields`` maps output -> "kind $.path"; nested objects and arrays come out as JSON text.
-    With ``path`` None the body itself is the only item.
     """
-    if path is None:
-        items = df.select("*", F.col(body).alias("_item"))
-    else:
-        nested = F.from_json(F.get_json_object(F.col(body), path), "array<string>")
-        items = df.select("*", F.explode(nested).alias("_item"))
-    picked = []
-    for output, spec in fields.items():
-        kind, where = spec.split(" ", 1)
-        value = F.get_json_object("_item", where)
-        picked.append((value if kind == "string" else value.try_cast(kind)).alias(output))
-    out = items.select(*keep, *picked, "_item")
-    return out.drop("_item") if raw is None else out.withColumnRenamed("_item", raw)
+    items = explode_rows(df, F.from_json(F.get_json_object(F.col(body), path), "array<string>"), "_item")
+    return _read_items(items, fields, keep, raw)
 
 
 def decode_catalogue_detail(
@@ -86,16 +102,16 @@ def decode_catalogue_detail(
 ) -> DataFrame:
     """Catalogue pages (many records) and detail responses (one record) as one stream.
 
-    Page-level fields are NULL on detail records. ``response_kind`` tells them apart.
+    Page-level fields are NULL on detail records. ``response_kind`` tells them apart. Both
+    kinds come from one scan: a detail body is its own only item.
     """
-    page = [(_page_field(body, spec)).alias(name) for name, spec in page_fields.items()]
-    blank = [F.lit(None).cast(spec.split(" ", 1)[0]).alias(name) for name, spec in page_fields.items()]
-    kept = [*keep, "response_kind", *page_fields]
-    catalogue = df.where(is_catalogue).select("*", F.lit("catalogue").alias("response_kind"), *page)
-    detail = df.where(is_detail).select("*", F.lit("detail").alias("response_kind"), *blank)
-    return decode_json_items(catalogue, body, items, fields, kept, raw).unionByName(
-        decode_json_items(detail, body, None, fields, kept, raw)
-    )
+    kind = F.when(is_catalogue, F.lit("catalogue")).when(is_detail, F.lit("detail"))
+    listed = F.col("response_kind") == "catalogue"
+    tagged = df.select("*", kind.alias("response_kind")).where("response_kind is not null")
+    paged = tagged.select("*", *[F.when(listed, _page_field(body, spec)).alias(n) for n, spec in page_fields.items()])
+    nested = F.from_json(F.get_json_object(F.col(body), items), "array<string>")
+    rows = explode_rows(paged, F.when(listed, nested).otherwise(F.array(F.col(body))), "_item")
+    return _read_items(rows, fields, [*keep, "response_kind", *page_fields], raw)
 
 
 def _page_field(body: str, spec: str) -> Column:
