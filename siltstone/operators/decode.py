@@ -28,6 +28,21 @@ def explode_rows(df: DataFrame, array: Column | str, name: str) -> DataFrame:
     return out.where("_at is not null").drop("_at")
 
 
+def step_into(df: DataFrame, level: str, name: str) -> DataFrame:
+    """Explode ``parent.member`` and take the member out of the parent that is carried along.
+
+    Otherwise every element would carry the whole array it came from, and a body would cost
+    the square of its length.
+    """
+    parent, _, member = level.partition(".")
+    if not member:
+        return explode_rows(df, level, name)
+    others = [c for c in df.columns if c != parent]
+    alone = len(df.schema[parent].dataType.fields) == 1
+    rest = [] if alone else [F.col(parent).dropFields(member).alias(parent)]
+    return explode_rows(df.select(*others, *rest, F.col(level).alias("_next")), "_next", name).drop("_next")
+
+
 def decode_envelopes(
     df: DataFrame,
     body: str,
@@ -42,12 +57,13 @@ def decode_envelopes(
     ``schema`` is the DDL of the whole body, parsed once. ``levels`` names what to explode,
     outermost first: ``"body"`` is the parsed body, every exploded level is then a column
     ``item0``, ``item1``, ... that the next level and ``fields`` refer to. ``keep`` lists
-    provenance columns carried along. A body that does not parse fails the query unless
+    provenance columns carried along. ``fields`` must not refer to an exploded array itself.
+    A body that does not parse fails the query unless
     ``mode`` says otherwise; an empty or absent array gives no record.
     """
     out = df.select(*keep, F.from_json(F.col(body), schema, {"mode": mode}).alias("body"))
     for number, level in enumerate(levels):
-        out = explode_rows(out, level, f"item{number}")
+        out = step_into(out, level, f"item{number}")
     return out.select(*keep, *[as_column(expr).alias(name) for name, expr in fields.items()])
 
 
@@ -122,6 +138,9 @@ def _page_field(body: str, spec: str) -> Column:
 
 # --- statistical cubes ------------------------------------------------------------------
 
+# Cells that are made in one step.
+CUBE_BLOCK = 4096
+
 CUBE_SCHEMA = (
     "version string, class string, label string, updated string, id array<string>, size array<bigint>, "
     "dimension map<string, struct<category: struct<index: string>>>, value string, status string"
@@ -224,40 +243,46 @@ def decode_cube(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame
     checked = F.when(F.coalesce(sound, F.lit(False)), F.arrays_zip("values", "statuses")).otherwise(
         F.raise_error(F.lit("inconsistent statistical cube"))
     )
-    cells = filled.select(
-        *keep,
-        F.col("c.label").alias("label"),
-        F.col("c.updated").alias("updated"),
-        "dims",
-        "pieces",
-        F.posexplode(checked).alias("position", "cell"),
+    blocks = filled.select(*keep, "c.label", "c.updated", "dims", "pieces", "total", checked.alias("cells"))
+    # Cells are made block by block with the code lists read in place: an exploded row carries
+    # its own values only, never the lists.
+    blocks = explode_rows(
+        blocks,
+        F.transform(
+            F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(CUBE_BLOCK).cast("long")),
+            lambda s: F.struct(s.alias("start"), F.slice("cells", (s + 1).cast("int"), F.lit(CUBE_BLOCK)).alias("part")),
+        ),
+        "block",
     )
 
-    def at(d: Column) -> Column:
-        return (F.floor(F.col("position") / d["stride"]) % d["size"] + 1).cast("int")
-
-    key = F.transform("dims", lambda d, i: F.element_at(F.element_at(F.col("pieces"), i + 1), at(d)))
-    text = cells.select(
-        *keep,
-        "label",
-        "updated",
-        "position",
-        F.map_from_arrays(F.transform("dims", lambda d: d["name"]), F.transform("dims", lambda d: F.element_at(d["codes"], at(d)))).alias("dimensions"),
-        F.concat(F.lit("{"), F.array_join(key, ","), F.lit("}")).alias("dimension_key_json"),
-        "cell",
-    )
-    return text.select(
+    def at(position: Column, d: Column) -> Column:
+        return (F.floor(position / d["stride"]) % d["size"] + 1).cast("int")
+
+    def cell(c: Column, i: Column) -> Column:
+        position = F.col("block.start") + i
+        codes = F.transform("dims", lambda d: F.element_at(d["codes"], at(position, d)))
+        key = F.transform("dims", lambda d, k: F.element_at(F.element_at(F.col("pieces"), k + 1), at(position, d)))
+        return F.struct(
+            position.cast("int").alias("position"),
+            F.map_from_arrays(F.transform("dims", lambda d: d["name"]), codes).alias("dimensions"),
+            F.concat(F.lit("{"), F.array_join(key, ","), F.lit("}")).alias("dimension_key_json"),
+            c["values"].alias("value"),
+            c["statuses"].alias("status"),
+        )
+
+    made = blocks.select(*keep, "label", "updated", F.transform("block.part", cell).alias("made"))
+    return explode_rows(made, "made", "cell").select(
         *keep,
         "label",
         "updated",
-        "position",
-        "dimensions",
-        F.coalesce(F.col("cell.values"), F.lit("null")).alias("value_json"),
-        decimal_number("cell.values").alias("value_numeric"),
-        F.col("cell.statuses").alias("status_code"),
-        F.col("cell.values").isNull().alias("is_missing"),
-        "dimension_key_json",
-        F.sha2("dimension_key_json", 256).alias("dimension_key_sha256"),
+        "cell.position",
+        "cell.dimensions",
+        F.coalesce(F.col("cell.value"), F.lit("null")).alias("value_json"),
+        decimal_number("cell.value").alias("value_numeric"),
+        F.col("cell.status").alias("status_code"),
+        F.col("cell.value").isNull().alias("is_missing"),
+        "cell.dimension_key_json",
+        F.sha2("cell.dimension_key_json", 256).alias("dimension_key_sha256"),
     )
 
 

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from siltstone.functions.records import field
 from siltstone.functions.text import clean_text, decimal_number, ratio
 from siltstone.operators.coverage import one_row, side_by_side
 from siltstone.operators.decode import explode_rows
@@ -164,11 +163,11 @@ API_COUNTRY = "array<struct<id: string, name: string, region: struct<id: string>
 
 def api_pages(responses: DataFrame) -> DataFrame:
     """Paging numbers of every response (``raw_sha256``, ``body``), with their fault if any."""
-    def number(name: str):
-        return field("body", f"$[0].{name}", "int").alias(name)
-
-    rows = F.json_array_length(F.get_json_object("body", "$[1]"))
-    pages = responses.select("raw_sha256", *[number(n) for n in ("page", "pages", "per_page", "total")], F.coalesce(rows, F.lit(0)).alias("rows"))
+    numbers = ["page", "pages", "per_page", "total"]
+    head = F.from_json(F.get_json_object("body", "$[0]"), ", ".join(f"{n} string" for n in numbers))
+    rows = F.coalesce(F.json_array_length(F.get_json_object("body", "$[1]")), F.lit(0))
+    parsed = responses.select("raw_sha256", head.alias("head"), rows.alias("rows"))
+    pages = parsed.select("raw_sha256", *[F.col(f"head.{n}").try_cast("int").alias(n) for n in numbers], "rows")
     return page_checks(pages, "page", "pages", "per_page", "total", "rows")
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltstone.functions.records import field
 from siltstone.operators.coverage import column_coverage
 from siltstone.operators.decode import flatten_features
 from siltstone.sources.readers import read_jsonl_lines
@@ -34,11 +33,13 @@ NUMBERS = ("geo_latitude", "geo_longitude")
 
 def bronze(lines: DataFrame, table: str) -> DataFrame:
     """One row per JSONL line: record identity and the first known value of each feature."""
-    parsed = lines.select(
-        field("line", "$.RECORD_ID").alias("record_id"),
-        field("line", "$.DATA_SOURCE").alias("data_source"),
-        F.coalesce(field("line", "$.BQ_DATASET"), field("line", "$.bq_dataset")).alias("bq_dataset"),
-        F.from_json(F.get_json_object("line", "$.FEATURES"), "array<map<string,string>>").alias("features"),
+    member = lambda name: F.try_element_at("record", F.lit(name))
+    records = lines.select(F.from_json("line", "map<string,string>").alias("record"))
+    parsed = records.select(
+        member("RECORD_ID").alias("record_id"),
+        member("DATA_SOURCE").alias("data_source"),
+        F.coalesce(member("BQ_DATASET"), member("bq_dataset")).alias("bq_dataset"),
+        F.from_json(member("FEATURES"), "array<map<string,string>>").alias("features"),
     )
     columns = {c: f"{'double' if c in NUMBERS else 'string'} {c.upper()}" for c in TABLES[table]}
     return flatten_features(parsed, "features", columns, ["record_id", "data_source", "bq_dataset"])

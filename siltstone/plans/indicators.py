@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from siltstone.functions.records import field, iso_timestamp
 from siltstone.functions.text import concat_skip_null, joined_label, ratio
 from siltstone.operators.coverage import one_row, side_by_side
-from siltstone.operators.decode import decode_catalogue_detail, decode_json_items, explode_rows
+from siltstone.operators.decode import decode_catalogue_detail, decode_json_items, step_into
 from siltstone.operators.dimensions import (
     attribute_pivot,
     bilingual_current,
@@ -146,8 +146,7 @@ def bronze_observations(envelopes: DataFrame) -> DataFrame:
     bodies = _responses(envelopes).where("task_kind = 'data_by_variable'").select(
         *keep, F.from_json("payload_utf8", OBSERVATION_BODY, {"mode": "FAILFAST"}).alias("b")
     )
-    units = explode_rows(bodies, "b.results", "u")
-    values = explode_rows(units, "u.values", "source_record_json").select(
+    values = step_into(step_into(bodies, "b.results", "u"), "u.values", "source_record_json").select(
         *keep,
         F.col("b.totalRecords").alias("source_universe_total"),
         F.col("b.variableId").alias("variable_id"),

@@ -83,6 +83,21 @@ def test_cube_cells_in_row_major_order(spark, list_index, sparse):
     assert sorted(map(tuple, picked)) == sorted((i, *w) for i, (_, want) in enumerate(made) for w in want)
 
 
+def test_cube_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decode, "CUBE_BLOCK", 5)
+    made = [cube(random.Random(n), True, True) for n in range(4)]
+    got = decode.decode_cube(bodies(spark, *[b for b, _ in made]), "body", ["id"]).select("id", "position", "dimension_key_json", "value_numeric").collect()
+    assert sorted(map(tuple, got)) == sorted((i, w[0], w[1], w[3]) for i, (_, want) in enumerate(made) for w in want)
+
+
+def test_step_into_keeps_the_rest_of_the_parent(spark):
+    df = bodies(spark, json.dumps([{"no": "1", "rates": [{"code": "USD"}]}]))
+    got = decode.decode_envelopes(df, "body", "array<struct<no: string, rates: array<struct<code: string>>>>", ["body", "item0.rates"], {"no": "item0.no", "code": "item1.code"})
+    assert rows(got) == [("1", "USD")]
+    only = decode.decode_envelopes(bodies(spark, '[{"rates":["a","b"]}]'), "body", "array<struct<rates: array<string>>>", ["body", "item0.rates"], {"v": "item1"})
+    assert rows(only) == [("a",), ("b",)]
+
+
 def test_cube_that_does_not_add_up_fails(spark):
     text, _ = cube(random.Random(1), True, False)
     doc = json.loads(text)
