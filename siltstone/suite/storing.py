@@ -164,16 +164,21 @@ def _inventory(spark, folder):
 @query(
     "inventory_digest",
     """
-    select n_regionkey, count(*) as files, sha256(string_agg(n_name, chr(10) order by n_name)) as inventory_sha256,
-           sha256(string_agg(n_name || chr(0) || sha256(cast(n_nationkey as varchar)), chr(10) order by n_name || chr(0) || sha256(cast(n_nationkey as varchar)))) as content_inventory_sha256
-    from nation group by n_regionkey
+    with parts as (select c_mktsegment, 'part-' || lpad(cast(c_nationkey as varchar), 3, '0') as name, sha256(cast(count(*) as varchar)) as content from customer group by c_mktsegment, c_nationkey)
+    select c_mktsegment, count(*) as files, sha256(string_agg(name, chr(10) order by name)) as inventory_sha256,
+           sha256(string_agg(name || chr(0) || content, chr(10) order by name)) as content_inventory_sha256
+    from parts group by c_mktsegment
     """,
 )
 def _digest(spark, folder):
-    files = table(spark, folder, "nation").select(
-        "n_regionkey", F.col("n_name").alias("file_name"), F.sha2(F.col("n_nationkey").cast("string"), 256).alias("content_sha256")
+    """One part per segment and nation, so a list has as many entries as there are nations."""
+    counted = table(spark, folder, "customer").groupBy("c_mktsegment", "c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    parts = counted.select(
+        "c_mktsegment",
+        F.concat(F.lit("part-"), F.lpad(F.col("c_nationkey").cast("string"), 3, "0")).alias("file_name"),
+        F.sha2(F.col("n").cast("string"), 256).alias("content_sha256"),
     )
-    return inventory_digest(files, ["n_regionkey"])
+    return inventory_digest(parts, ["c_mktsegment"])
 
 
 @query("import_file", "select c_custkey, c_name, c_acctbal from customer where c_nationkey = 3")
