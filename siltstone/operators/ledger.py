@@ -260,6 +260,15 @@ def _responses(records: DataFrame, scope: Sequence[str], sequence: str, evidence
     )
 
 
+def _sightings(placed: DataFrame, keys: Sequence[str], previous: Sequence[str], chunk_steps: int | None) -> DataFrame:
+    """The sightings of each record in order, every one with the one before it.
+
+    Steps are numbered per publication, so ``chunk_steps`` bounds what one task orders.
+    """
+    chunk = None if chunk_steps is None else F.floor(F.col("_step") / chunk_steps)
+    return annotate_sequence(placed, keys, ["_step"], previous=previous, chunk=chunk)
+
+
 def presence_timeline(
     records: DataFrame,
     *,
@@ -269,27 +278,29 @@ def presence_timeline(
     fields: Sequence[str],
     evidence: Sequence[str],
     from_response: Sequence[str] = (),
+    chunk_steps: int | None = None,
 ) -> DataFrame:
     """Each record at every response of its publication from its first sighting on.
 
     ``records`` holds one row per (scope, member, sequence). Absent steps are filled from
     the gap between one sighting and the next, so no record is paired with responses it
-    does not need. ``from_response`` names fields that fall back to the response's value.
+    does not need. ``from_response`` names fields that fall back to the response's value,
+    ``chunk_steps`` splits records with very many sightings (see ``change_events``).
     """
     steps = _responses(records, scope, sequence, [*evidence, *from_response])
     last = Window.partitionBy(*scope)
     steps = steps.withColumn("_steps", F.max("_step").over(last))
     placed = records.withColumnRenamed(sequence, "_seq").join(steps.select(*scope, "_seq", "_step", "_steps"), [*scope, "_seq"])
-    line = Window.partitionBy(*scope, member).orderBy("_step")
-    until = F.coalesce(F.lead("_step").over(line) - 1, F.col("_steps"))
-    kept = F.struct(*fields)
-    spread = placed.select(
+    lined = _sightings(placed, [*scope, member], ["_step"], chunk_steps)
+    since = F.coalesce(F.col("_prev._step") + 1, F.col("_step"))
+    until = F.when(F.col("_row") == F.col("_rows"), F.col("_steps")).otherwise(F.col("_step"))
+    spread = lined.select(
         *scope,
         member,
         F.col("_step").alias("_sighted"),
-        kept.alias("_kept"),
-        until.alias("_until"),
-    ).select(*scope, member, "_sighted", "_kept", F.explode(F.sequence("_sighted", "_until")).alias("_step"))
+        F.struct(*fields).alias("_kept"),
+        F.explode(F.sequence(since, until)).alias("_step"),
+    )
     present = F.col("_step") == F.col("_sighted")
     return spread.join(steps.select(*scope, "_step", "_this"), [*scope, "_step"]).select(
         *scope,
@@ -325,12 +336,14 @@ def change_events(
     contract: str,
     record: Sequence[str] | None = None,
     labels: Mapping[str, str] | None = None,
+    chunk_steps: int | None = None,
 ) -> DataFrame:
     """Value changes, metadata changes, disappearances and returns between responses.
 
     Only responses that still carry the publication (``scope``) are compared; a response
     without it proves nothing about its members. A record has at most one row per retained
-    response of its publication, and that bounds every ordered group here. Every event follows from two consecutive
+    response of its publication; where that is still too many for one task, ``chunk_steps``
+    orders the sightings in chunks of so many responses. Every event follows from two consecutive
     sightings of a record and the responses next to them: no timeline of absent steps is
     built. ``records`` holds one row per (scope, member, sequence). ``record`` gives the
     field order of the hashed canonical record.
@@ -350,13 +363,7 @@ def change_events(
     placed = hashed.select(*scope, member, F.col(sequence).alias("_seq"), F.struct(*fields, "_sha").alias("_rec")).join(
         steps, [*scope, "_seq"]
     )
-    line = Window.partitionBy(*scope, member).orderBy("_step")
-    lined = placed.select(
-        "*",
-        F.lag("_step").over(line).alias("_step_before"),
-        F.lag("_rec").over(line).alias("_rec_before"),
-        F.lead("_step").over(line).alias("_step_after"),
-    )
+    lined = _sightings(placed, [*scope, member], ["_step", "_rec", "_this", "_later"], chunk_steps)
 
     def absent(at: str) -> dict[str, Column]:
         nothing = {f: F.lit(None).cast(hashed.schema[f].dataType) for f in fields}
@@ -385,7 +392,7 @@ def change_events(
         )
 
     yes, no = F.lit(True), F.lit(False)
-    here, back = held("_rec", "_this"), held("_rec_before", "_earlier")
+    here, back = held("_rec", "_this"), held("_prev._rec", "_earlier")
 
     def any_changed(group: Sequence[str]) -> Column:
         out = F.lit(False)
@@ -393,22 +400,24 @@ def change_events(
             out = out | ~here[c].eqNullSafe(back[c])
         return out
 
-    adjacent = F.col("_step_before") == F.col("_step") - 1
+    adjacent = F.col("_prev._step") == F.col("_step") - 1
+    apart = F.col("_prev._step") < F.col("_step") - 1
+    unseen = (F.col("_row") == F.col("_rows")) & F.col("_later").isNotNull()
     changed = F.when(any_changed(values), F.lit(names["value"])).when(any_changed(metadata), F.lit(names["metadata"]))
+    sha, sha_before = F.col("_rec._sha"), F.col("_prev._rec._sha")
+    missing, came_back = F.lit(names["missing"]), F.lit(names["returned"])
     same_record = F.when(
-        adjacent & changed.isNotNull(),
-        event(changed, here, back, yes, yes, "_this", "_earlier", F.col("_rec._sha"), F.col("_rec_before._sha")),
-    )
-    returned = F.when(
-        F.col("_step_before") < F.col("_step") - 1,
-        event(F.lit(names["returned"]), here, absent("_earlier"), yes, no, "_this", "_earlier", F.col("_rec._sha"), no_hash),
+        adjacent & changed.isNotNull(), event(changed, here, back, yes, yes, "_this", "_earlier", sha, sha_before)
     )
+    # A gap gives two events: lost right after the earlier sighting, back at this one.
     lost = F.when(
-        F.col("_later").isNotNull() & (F.coalesce(F.col("_step_after"), F.lit(-1)) != F.col("_step") + 1),
-        event(F.lit(names["missing"]), absent("_later"), here, no, yes, "_later", "_this", no_hash, F.col("_rec._sha")),
+        apart,
+        event(missing, absent("_prev._later"), held("_prev._rec", "_prev._this"), no, yes, "_prev._later", "_prev._this", no_hash, sha_before),
     )
+    returned = F.when(apart, event(came_back, here, absent("_earlier"), yes, no, "_this", "_earlier", sha, no_hash))
+    lost_at_end = F.when(unseen, event(missing, absent("_later"), here, no, yes, "_later", "_this", no_hash, sha))
     found = lined.select(
-        *scope, member, F.explode(F.array_compact(F.array(same_record, returned, lost))).alias("_event")
+        *scope, member, F.explode(F.array_compact(F.array(same_record, lost, returned, lost_at_end))).alias("_event")
     )
     seen = F.col("_event.event_type").isin(names["missing"], names["returned"])
     return found.select(

@@ -198,13 +198,13 @@ def random_records(seed):
     return data
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_change_events_against_the_definition(spark, seed):
+@pytest.mark.parametrize("seed, chunk", [(0, None), (1, None), (2, None), (3, 1), (4, 2), (5, 3), (0, 100)])
+def test_change_events_against_the_definition(spark, seed, chunk):
     import json
 
     data = random_records(seed)
     found = change_events(
-        spark.createDataFrame(data, RECORD), values=["mid"], metadata=["tbl", "name"], contract="v1", **KW
+        spark.createDataFrame(data, RECORD), values=["mid"], metadata=["tbl", "name"], contract="v1", chunk_steps=chunk, **KW
     ).collect()
     got = sorted(
         (
@@ -217,10 +217,10 @@ def test_change_events_against_the_definition(spark, seed):
     assert got == events_brute(data)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_presence_timeline_against_the_definition(spark, seed):
+@pytest.mark.parametrize("seed, chunk", [(0, None), (1, None), (2, 2)])
+def test_presence_timeline_against_the_definition(spark, seed, chunk):
     data = random_records(seed)
-    found = presence_timeline(spark.createDataFrame(data, RECORD), fields=["mid", "tbl", "name"], **KW)
+    found = presence_timeline(spark.createDataFrame(data, RECORD), fields=["mid", "tbl", "name"], chunk_steps=chunk, **KW)
     got = sorted((tuple(r) for r in found.select("src", "day", "code", "seq", "sha", "is_present", "mid", "tbl", "name").collect()), key=str)
     want = sorted(((*k, *step) for k, line in timeline_brute(data).items() for step in line), key=str)
     assert got == want
