@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -24,8 +25,6 @@ def unpivot_filled(df: DataFrame, ids: Sequence[str], columns: Sequence[str], na
 
 def unpivot_years(df: DataFrame, ids: Sequence[str], name: str = "observation_year", value: str = "observation_value_text") -> DataFrame:
     """Every year column as rows; blank cells and columns not named like a year give none."""
-    import re
-
     years = [c for c in df.columns if c not in ids and re.fullmatch(YEAR_PATTERN, c)]
     long = unpivot_filled(df, ids, years, name, value)
     text = F.nullif(F.trim(F.col(value)), F.lit(""))

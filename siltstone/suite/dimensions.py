@@ -13,7 +13,7 @@ from siltstone.functions.text import (
     joined_label,
     local_number,
     period_year,
-    ratio,
+    round_half_up,
     territory_code,
     unit_code,
 )
@@ -689,8 +689,6 @@ def _conditional(spark, folder):
     """,
 )
 def _daily_rollup(spark, folder):
-    from siltstone.functions.text import round_half_up
-
     mean = F.sum(F.col("value").cast(MONEY)).cast("double") / F.count("value")
     return (
         table(spark, folder, "events")
