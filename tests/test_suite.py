@@ -11,6 +11,7 @@ ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
 import __spark_entry__ as entry  # noqa: E402
+from siltstone.suite import catalogue  # noqa: E402
 from tools.check_oracle import TABLES, plain  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
@@ -28,14 +29,15 @@ def con():
 
 def test_registry():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"content_inventory", "summarize_sketches"}
+    assert set(catalogue.QUERIES) <= set(entry.queries())
+    assert set(catalogue.QUERIES) - set(catalogue.ORACLES) == {"content_inventory", "summarize_sketches"}
 
 
 def test_flagship(spark):
     assert entry.entry(spark).count() == 10
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalogue.QUERIES))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     columns = sorted(df.columns)
