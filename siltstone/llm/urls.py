@@ -17,7 +17,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A block is 8 words of 32 bits; a key sets one bit in each.
 WORDS = 8
 KEYS_PER_BLOCK = 16
-MAX_BLOCKS = 1 << 20  # 32 MiB
+MAX_BLOCKS = 1 << 18  # 8 MiB
 
 
 def url_host(url: Column) -> Column:
@@ -56,8 +56,9 @@ def blocked_filter(keys: DataFrame, column: str = "key") -> np.ndarray:
     schema = "block long, " + ", ".join(f"w{i} long" for i in range(WORDS))
     rows = keys.select(column).mapInArrow(bits, schema).groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
     table = np.zeros((blocks, WORDS), np.uint32)
-    for row in rows.collect():
-        table[row["block"]] = row[1:]
+    found = rows.toArrow()
+    for i in range(WORDS):
+        table[found["block"].to_numpy(), i] = found[f"w{i}"].to_numpy()
     return table
 
 
