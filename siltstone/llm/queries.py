@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import urls
+from siltstone.llm import simhash, urls
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -42,3 +42,8 @@ def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     entries = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = table(spark, folder, "pages").select("page_id", "url")
     return urls.listed(pages, entries).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op5_simhash")
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltstone.llm.shared import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -14,10 +17,15 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, folder)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
-        return fn
+        return run
 
     return register
 
