@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import simhash, urls
+from siltstone.llm import simhash, toxicity, urls
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -44,6 +44,11 @@ def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.listed(pages, entries).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
