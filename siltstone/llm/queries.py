@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siltstone.llm import simhash, toxicity, urls
+from siltstone.llm import credentials, simhash, toxicity, urls
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -52,3 +53,14 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op7_secret_scans")
+def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = credentials.secret_spans(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *[credentials.counted("base", kind).alias(f"n_{kind}") for kind in credentials.BASE],
+        F.sha2(credentials.spelled("base"), 256).alias("base_sha256"),
+        credentials.spelled("spans").alias("spans"),
+    )
