@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import credentials, simhash, toxicity, urls
+from siltstone.llm import credentials, langid, simhash, toxicity, urls
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -64,3 +64,9 @@ def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(credentials.spelled("base"), 256).alias("base_sha256"),
         credentials.spelled("spans").alias("spans"),
     )
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return langid.languages(docs, langid.train(docs))
