@@ -1,7 +1,7 @@
 """Toxicity: a convolutional text classifier over hashed word embeddings, trained in numpy.
 
 A word is the sum of three hashed embeddings: two of the whole word, so that one unlucky collision is not taken for the
-word, and one of its first bytes. Filters of several widths run over the words of the whole text; the maximum of each
+word, and one of its first bytes. Case does not count. Filters of several widths run over the words of the whole text; the maximum of each
 filter goes into a logistic layer. The classifier is fitted on at most ``Settings.positives`` + ``Settings.negatives``
 labelled documents, chosen by a hash of their id, in one task; the intercept is moved back to the share of positives among
 all labelled rows. A fifth of the sample is held back to place a threshold for each language.
@@ -14,10 +14,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.text import LOWER, PLAIN_BYTES, byte_blocks, fold, held_out, mix, word_hashes, word_spans
+from siltstone.llm.text import PLAIN_BYTES, byte_blocks, fold, held_out, mix, word_hashes, word_spans
 
 TABLES = 3
 PADS = 3  # at least the widest filter
@@ -57,7 +58,6 @@ class Model:
 
 def word_ids(data: np.ndarray, offsets: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the embedding tables (one column a table) of all words, and where each text's words begin."""
-    data = LOWER[data]
     starts, ends, rows = word_spans(data, offsets, PLAIN_BYTES)
     whole = word_hashes(data, starts, ends)
     begin = word_hashes(data, starts, np.minimum(ends, starts + s.prefix))
@@ -205,7 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
         found.sort(key=lambda r: r["doc_id"])
         y = np.array([r["label"] for r in found], np.float64)
         coin = np.random.default_rng(5).random(len(found)) < 0.2
-        raw = [(r["text"] or "").encode() for r in found]
+        raw = [(r["text"] or "").lower().encode() for r in found]
         part = fit([t for t, c in zip(raw, coin, strict=True) if not c], y[~coin], s, share)
         cuts = {}
         if coin.any() and 0 < y[coin].sum() < coin.sum():
@@ -241,7 +241,7 @@ def score(model: Model, docs: DataFrame, text: Column) -> Column:
     @F.arrow_udf("double")
     def classify(column: pa.Array) -> pa.Array:
         model, found = shared.value, [np.zeros(0)]
-        for _, offsets, data in byte_blocks(column, 1 << 18):
+        for _, offsets, data in byte_blocks(pc.utf8_lower(column), 1 << 18):
             ids, rows = word_ids(data, offsets, model.settings)
             found.append(probabilities(model, ids, rows))
         return pa.array(np.concatenate(found).astype(np.float64))
