@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import credentials, decontamination, langid, simhash, toxicity, urls
+from siltstone.llm import credentials, decontamination, langid, packing, simhash, toxicity, urls
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -20,6 +20,13 @@ URL_RULES = [
 ]
 
 
+def vocabulary(name: str) -> str:
+    """Where the installed public tokenizers keep a vocabulary file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 @query(
     "op2_url_filters",
     r"""
@@ -71,6 +78,11 @@ def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op9_packing")
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 @query("op10_language_id")
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
