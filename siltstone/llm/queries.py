@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import credentials, decontamination, langid, packing, simhash, toxicity, urls
+from siltstone.llm import credentials, decontamination, fingerprints, langid, packing, simhash, toxicity, urls
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -67,6 +67,11 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query("op6_document_fingerprints")
+def op6_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.document_fingerprints(table(spark, folder, "documents"))
+
+
 @query("op7_secret_scans")
 def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     found = credentials.secret_spans(table(spark, folder, "documents"))
