@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import credentials, decontamination, fingerprints, langid, packing, simhash, toxicity, urls
+from siltstone.llm import credentials, decontamination, fingerprints, langid, language_model, packing, simhash, toxicity, urls
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -83,6 +83,12 @@ def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op8_lm_scoring")
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language_model.scores(docs, language_model.train(language_model.training_rows(docs)))
+
+
 @query("op9_packing")
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
