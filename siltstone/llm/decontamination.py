@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -210,14 +211,16 @@ def holds_item(docs: DataFrame, benchmark: DataFrame, text: Column, similarity:
     """Whether a text holds a passage within the budget of any item."""
     any_part = F.lit(False)
     for items in parts(benchmark, "item_id", "text", similarity, min_words):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+        any_part = any_part | _holds(docs.sparkSession.sparkContext.broadcast(items), text)
+    return any_part
 
-        @F.arrow_udf("boolean")
-        def holds(column: pa.Array, shared=shared) -> pa.Array:
-            found = np.zeros(len(column), bool)
-            for row, hashes, rows in words_in(column):
-                found[[row + m[0] for m in matches(shared.value, hashes, rows, True)]] = True
-            return pa.array(found)
 
-        any_part = any_part | holds(text)
-    return any_part
+def _holds(shared: Broadcast[Items], text: Column) -> Column:
+    @F.arrow_udf("boolean")
+    def holds(column: pa.Array) -> pa.Array:
+        found = np.zeros(len(column), bool)
+        for row, hashes, rows in words_in(column):
+            found[[row + m[0] for m in matches(shared.value, hashes, rows, True)]] = True
+        return pa.array(found)
+
+    return holds(text)

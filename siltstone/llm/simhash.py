@@ -14,19 +14,22 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import components
 from siltstone.llm.shared import stored
-from siltstone.llm.text import byte_blocks
+from siltstone.llm.text import byte_blocks, gram_hashes, mix, span_hashes, word_hashes, word_spans
 
 BITS = 64
 BLOCKS = 6
 SEED = 42
 #: Files above this size are filed again by their other bits.
 WALK = 1 << 14
+#: Files up to this size also yield every entry's closest one, where that is asked for.
+NEAREST = 2048
 
 
 def shingle_fingerprint(text: bytes, size: int) -> int:
@@ -70,83 +73,92 @@ def block_masks(blocks: int = BLOCKS, max_bits: int = 3) -> list[int]:
 
 
 def forest(values: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest over distinct fingerprints linked at ``max_bits`` or fewer differing bits."""
+    """Links (as places) of a spanning forest over fingerprints linked at ``max_bits`` or fewer differing bits."""
     if len(values) <= WALK:
-        return walk(values, max_bits)
+        return walk(values, np.arange(len(values)), max_bits)
     froms, tos = [], []
     for mask in block_masks(2 * BLOCKS, max_bits):  # they agree in half of the bits already: file them by three quarters
         keys = values & np.uint64(mask)
         order = np.argsort(keys, kind="stable")
-        for group in np.split(values[order], np.flatnonzero(np.diff(keys[order])) + 1):
-            a, b = walk(group, max_bits)
+        for group in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1):
+            a, b = walk(values, group, max_bits)
             froms.append(a)
             tos.append(b)
     return np.concatenate(froms), np.concatenate(tos)
 
 
-def walk(values: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    rest, froms, tos = values, [], []
+def walk(values: np.ndarray, places: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Breadth-first over the fingerprints at ``places``: every one found is linked with the one that found it."""
+    rest, froms, tos = places, [places[:0]], [places[:0]]
     while len(rest) > 1:
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             here = queue.pop()
-            near = np.bitwise_count(rest ^ here) <= max_bits
+            near = np.bitwise_count(values[rest] ^ values[here]) <= max_bits
             found = rest[near]
             if len(found):
                 froms.append(np.full(len(found), here))
                 tos.append(found)
                 queue.extend(found)
                 rest = rest[~near]
-    none = values[:0]
-    return np.concatenate(froms or [none]), np.concatenate(tos or [none])
+    return np.concatenate(froms), np.concatenate(tos)
+
 
+def nearest(values: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (as places) of every fingerprint with its closest other one, up to ``max_bits``."""
+    apart = np.bitwise_count(values[:, None] ^ values[None])
+    np.fill_diagonal(apart, BITS + 1)
+    to = apart.argmin(1)
+    close = np.flatnonzero(apart[np.arange(len(values)), to] <= max_bits)
+    return close, to[close]
 
-def _file_links(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (file, key, value); a file may go on in the next batch."""
-    held: np.ndarray | None = None  # rows of the file that is still open
 
-    def emit(rows: np.ndarray, last: bool) -> pa.RecordBatch | None:
-        nonlocal held
-        change = np.flatnonzero((rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 1] != rows[:-1, 1])) + 1
-        if not last:
-            cut = change[-1] if len(change) else 0
-            held, rows, change = rows[cut:], rows[:cut], change[:-1] if len(change) else change
-        bounds = np.concatenate([[0], change, [len(rows)]])
+def _file_links(batches: Iterator[pa.RecordBatch], max_bits: int, with_nearest: bool) -> Iterator[pa.RecordBatch]:
+    """Rows (file, fingerprint, id) sorted by file; a file may go on in the next batch. Links (a, b) of ids."""
+
+    def emit(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        bounds = np.concatenate([[0], np.flatnonzero(np.diff(rows[:, 0])) + 1, [len(rows)]])
         sizes = np.diff(bounds)
-        values = np.ascontiguousarray(rows[:, 2]).view(np.uint64)
-        a, b = [values[:0]], [values[:0]]
+        values = np.ascontiguousarray(rows[:, 1]).view(np.uint64)
         pairs = bounds[:-1][sizes == 2]
-        close = np.bitwise_count(values[pairs] ^ values[pairs + 1]) <= max_bits
-        a.append(values[pairs][close])
-        b.append(values[pairs + 1][close])
+        pairs = pairs[np.bitwise_count(values[pairs] ^ values[pairs + 1]) <= max_bits]
+        a, b = [pairs], [pairs + 1]
         for i in np.flatnonzero(sizes > 2):
-            x, y = forest(values[bounds[i] : bounds[i + 1]], max_bits)
-            a.append(x)
-            b.append(y)
-        found = [np.concatenate(x).view(np.int64) for x in (a, b)]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["a", "b"]) if len(found[0]) else None
+            own = values[bounds[i] : bounds[i + 1]]
+            found = [forest(own, max_bits)]
+            if with_nearest and len(own) <= NEAREST:
+                found.append(nearest(own, max_bits))
+            for x, y in found:
+                a.append(x + bounds[i])
+                b.append(y + bounds[i])
+        ends = [rows[np.concatenate(x), 2] for x in (a, b)]
+        if len(ends[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in ends], ["a", "b"])
 
+    held = np.zeros((0, 3), np.int64)  # rows of the file that is still open
     for batch in batches:
         rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], 1)
-        if held is not None:
-            rows = np.concatenate([held, rows])
-        if len(rows) and (out := emit(rows, False)) is not None:
-            yield out
-    if held is not None and len(held) and (out := emit(held, True)) is not None:
-        yield out
+        rows = np.concatenate([held, rows])
+        change = np.flatnonzero(np.diff(rows[:, 0]))
+        cut = int(change[-1]) + 1 if len(change) else 0
+        held = rows[cut:]
+        if cut:
+            yield from emit(rows[:cut])
+    if len(held):
+        yield from emit(held)
 
 
-def links(fingerprints: DataFrame, max_bits: int = 3) -> DataFrame:
-    """Links (a, b) between distinct fingerprints, enough to connect all that are linked at ``max_bits`` or fewer bits.
+def links(entries: DataFrame, masks: list[int], max_bits: int = 3, with_nearest: bool = False) -> DataFrame:
+    """Links (a, b) between ids whose fingerprints meet in a file at ``max_bits`` or fewer bits: enough to connect them all.
 
-    ``fingerprints`` has one distinct non-null ``fingerprint`` (long) a row.
+    ``entries`` has series (int), fingerprint and id (long), none null; only fingerprints of one series are compared.
+    ``with_nearest`` adds each entry's closest one in its file.
     """
-    masks = block_masks(BLOCKS, max_bits)
     signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
-    files = F.array(*[F.struct(F.lit(i).cast("long").alias("file"), F.col("fingerprint").bitwiseAND(F.lit(m).cast("long")).alias("key")) for i, m in enumerate(signed)])
-    filed = fingerprints.select("fingerprint", F.explode(files).alias("f")).select("f.file", "f.key", "fingerprint")
-    dealt = filed.repartition("file", "key").sortWithinPartitions("file", "key", "fingerprint")
-    return dealt.mapInArrow(lambda batches: _file_links(batches, max_bits), "a long, b long").distinct()
+    keys = [F.xxhash64("series", F.lit(i), F.col("fingerprint").bitwiseAND(F.lit(m).cast("long"))) for i, m in enumerate(signed)]
+    filed = entries.select(F.explode(F.array(*keys)).alias("file"), "fingerprint", "id")
+    dealt = filed.repartition("file").sortWithinPartitions("file", "fingerprint", "id")
+    return dealt.mapInArrow(lambda batches: _file_links(batches, max_bits, with_nearest), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, max_bits: int = 3) -> DataFrame:
@@ -158,10 +170,109 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     marked = stored(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), size).alias("fingerprint")), "fingerprints")
     distinct = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
-    labels = components(links(distinct.select("fingerprint"), max_bits))
+    entries = distinct.select(F.lit(0).alias("series"), "fingerprint", F.col("fingerprint").alias("id"))
+    labels = components(links(entries, block_masks(BLOCKS, max_bits), max_bits))
     labelled = distinct.join(labels, distinct.fingerprint == labels.node, "left").select(
         "fingerprint", "first_id", F.coalesce("label", "fingerprint").alias("label")
     )
     firsts = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
     classes = labelled.join(firsts, "label").select("fingerprint", "component_id")
     return marked.join(classes, "fingerprint").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: Fingerprints of the set of a text's words, each by hashes of its own: texts that share most words are close in one of them.
+SERIES = 6
+SERIES_BLOCKS = 5
+#: Bits of the long fingerprint of a text's shingles, on which similarity is judged.
+LONG_BITS = 1024
+
+
+def long_distance(similarity: float) -> int:
+    """Differing bits of ``LONG_BITS`` that are expected at a Jaccard similarity: sets of equal size at that angle."""
+    return round(LONG_BITS * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def _majority(hashes: np.ndarray, words: int) -> np.ndarray:
+    """Majority bits of ``words`` independent 64-bit hashes of every value."""
+    out = np.zeros((words, BITS), np.int64)
+    for w in range(words):
+        h = mix(hashes + np.uint64(w * 0x9E3779B97F4A7C15 % (1 << 64)))
+        for lo in range(0, len(h), 1 << 16):
+            out[w] += np.unpackbits(h[lo : lo + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return np.packbits(out * 2 > len(hashes), axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def _profiles(column: pa.Array, size: int, keys_only: bool = False) -> Iterator[tuple[int, np.ndarray | None]]:
+    """Hash of the words of every text, and its series of word fingerprints with the long one of its shingles."""
+    for _, offsets, data in byte_blocks(pc.utf8_lower(column)):
+        starts, ends, rows = word_spans(data, offsets)
+        hashes = word_hashes(data, starts, ends)
+        keys = span_hashes(hashes, rows[:-1], rows[1:]).view(np.int64).tolist()
+        for i, key in enumerate(keys):
+            if keys_only:
+                yield key, None
+                continue
+            own = hashes[rows[i] : rows[i + 1]]
+            shingles = np.unique(gram_hashes(own, min(size, len(own)))) if len(own) else own
+            yield key, np.concatenate([_majority(np.unique(own), SERIES), _majority(shingles, LONG_BITS // BITS)])
+
+
+def words_key(text: Column) -> Column:
+    """A hash of a text's lower-cased words; equal for texts that differ in case and white space only."""
+
+    @F.arrow_udf("bigint")
+    def key(column: pa.Array) -> pa.Array:
+        return pa.array([k for k, _ in _profiles(column, 1, True)], pa.int64())
+
+    return key(text)
+
+
+def one_of_each_group(docs: DataFrame, size: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: the one with the smallest id (a null id only if all are null).
+
+    Texts are candidates if one of ``SERIES`` word fingerprints differs in 3 or fewer bits, found by pigeonhole blocks; they
+    are linked if their long fingerprints of ``size``-word shingles are as close as sets of that Jaccard similarity. Groups are
+    connected components. Null and wordless texts are one group. All columns are kept.
+    """
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kind = source.schema["doc_id"].dataType.simpleString()
+
+    def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, profiles = zip(*_profiles(batch.column(1), size), strict=True) if len(batch) else ((), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array([p.tobytes() for p in profiles], pa.binary())], ["doc_id", "key", "profile"])
+
+    marks = stored(source.mapInArrow(profile, f"doc_id {kind}, key long, profile binary"), "profiles")
+    counts = marks.groupBy("key", "doc_id").agg(F.count("*").alias("n"), F.min("profile").alias("profile"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "n")).alias("first")
+    distinct = stored(counts.groupBy("key").agg(first, F.min("profile").alias("profile")), "texts")
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                p = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64).reshape(len(batch), -1)[:, :SERIES]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.tile(np.arange(SERIES, dtype=np.int32), len(batch))), pa.array(p.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), SERIES))],
+                    ["series", "fingerprint", "id"],
+                )
+
+    filed = distinct.select("key", "profile").mapInArrow(entries, "series int, fingerprint long, id long")
+    near = links(filed, block_masks(SERIES_BLOCKS, 3), 3, True)
+    near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    sides = [distinct.select(F.col("key").alias(c), F.substring("profile", 8 * SERIES + 1, LONG_BITS // 8).alias(f"long_{c}")) for c in ("a", "b")]
+    limit = long_distance(similarity)
+
+    @F.arrow_udf("boolean")
+    def alike(a: pa.Array, b: pa.Array) -> pa.Array:
+        x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(len(c), -1) for c in (a, b))
+        return pa.array(np.bitwise_count(x ^ y).sum(1) <= limit)
+
+    linked = near.join(sides[0], "a").join(sides[1], "b").where(alike("long_a", "long_b")).select("a", "b")
+    labels = components(linked)
+    grouped = distinct.join(labels, distinct.key == labels.node, "left").select("key", "first", F.coalesce("label", "key").alias("label"))
+    chosen = grouped.groupBy("label").agg(F.min(F.struct("first", "key")).alias("least"))
+    chosen = chosen.select(F.col("least.key").alias("__key"), F.col("least.first.doc_id").alias("__id"), (F.col("least.first.n") > 1).alias("__again"))
+    rows = docs.withColumn("__key", words_key(F.col(text)))
+    kept = rows.join(chosen, "__key").where(F.col(doc_id).eqNullSafe(F.col("__id")))
+    once = kept.where(~F.col("__again")).unionByName(kept.where("__again").dropDuplicates(["__key"]))
+    return once.select(*docs.columns)
