@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import credentials, decontamination, fingerprints, langid, language_model, packing, simhash, toxicity, urls
+from siltstone.llm import credentials, decontamination, fingerprints, langid, language_model, packing, simhash, substrings, toxicity, urls
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -27,6 +27,12 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+@query("op1_substring_dedup")
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.without_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query(
     "op2_url_filters",
     r"""

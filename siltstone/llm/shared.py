@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -42,3 +43,9 @@ def ship(spark: SparkSession) -> None:
             z.write(root / name, name)
     context.addPyFile(archive)
     _shipped.add(context.applicationId)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of queries that have ended; it does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
