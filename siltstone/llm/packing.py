@@ -24,7 +24,7 @@ from siltstone.llm.shared import stored
 SIZE = 1024
 CLOSING_ID = 0
 #: Pieces that are ranked in one task, about.
-CHUNK = 500_000
+CHUNK = 16_384
 _encoders: dict[str, Encoder] = {}
 
 
