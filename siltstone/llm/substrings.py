@@ -33,7 +33,7 @@ GRAM = 5
 PART = 2048
 PLACE_BITS = np.uint64(28)
 WORD_BYTES = 6
-#: Documents without an id come after all others.
+#: The largest place in the order of documents.
 LAST = (1 << 63) - 1
 
 
@@ -140,22 +140,27 @@ def _matched(passages: DataFrame, window: int) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), *[pa.list_(pa.int32())] * 3, pa.list_(pa.int64())]
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, automaton = None, SuffixAutomaton()
+        part, automata = None, {}  # more than one only where rows share an id
         for batch in batches:
             out = []
             for i in range(len(batch)):
                 reference, salt, role, ordinal, row_id, starts, lengths, data = (batch.column(c)[i].as_py() for c in range(8))
                 if (reference, salt) != part:
-                    part, automaton = (reference, salt), SuffixAutomaton()
+                    part, automata = (reference, salt), {}
+                if role == 0 and row_id in automata:
+                    continue  # a repeated row
                 words, at = _unpack(data), 0
                 spans, lone_starts, lone_hashes = [], [], [np.zeros(0, np.uint64)]
                 for start, length in zip(starts, lengths, strict=True):
                     own = words[at : at + length]
                     at += length
                     if role == 0:
-                        automaton.add(own.tolist(), start)
+                        automata.setdefault(row_id, SuffixAutomaton()).add(own.tolist(), start)
                         continue
-                    first = np.array(automaton.first_starts(own.tolist(), window))
+                    listed = own.tolist()
+                    places = np.array([a.first_starts(listed, window) for a in automata.values()])
+                    first = np.where(places < 0, LAST, places).min(0)
+                    first[first == LAST] = -1
                     here = np.arange(start, start + len(first))
                     again = here[(first >= 0) & ((reference < ordinal) | (first < here))]
                     if len(again):
@@ -196,11 +201,15 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept (the words that stay, joined by one space), spans.
 
     A word goes if a window of ``window`` words that covers it also starts earlier: in a document of smaller id, or earlier in the
-    same document. Null and empty texts have no words. Documents without an id come after all others. Rows that share an id
-    are one document to each other: the same place in two of them is not earlier. Other columns are not read.
+    same document. Null and empty texts have no words. Documents without an id come after all others, by a hash of their
+    text. Rows that share an id are one document to each other: the same place in two of them is not earlier. Other columns
+    are not read.
     """
     source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    source = source.withColumn("row_id", F.xxhash64("doc_id", "text")).withColumn("ordinal", F.coalesce("doc_id", F.lit(LAST)).cast("long"))
+    largest = source.agg(F.max("doc_id")).first()[0] or 0
+    begin = min(max(0, largest) + 1, LAST)
+    after = F.lit(begin) + F.pmod(F.xxhash64("text"), F.lit(max(1, LAST - begin)))
+    source = source.withColumn("row_id", F.xxhash64("doc_id", "text")).withColumn("ordinal", F.coalesce("doc_id", after).cast("long"))
     spans = repeated_spans(source.select("row_id", "ordinal", "text"), window)
     kind = source.schema["doc_id"].dataType.simpleString()
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
