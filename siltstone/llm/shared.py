@@ -7,6 +7,7 @@ import gc
 import os
 import shutil
 import tempfile
+import time
 import zipfile
 from pathlib import Path
 
@@ -46,6 +47,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of queries that have ended; it does so when the driver collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark drop the shuffle files of queries that have ended; it does so when the driver collects garbage.
+
+    The second round finds what the first has let go of.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
