@@ -216,18 +216,27 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
                 own = of == name
                 if y[coin][own].sum() >= 10 and (1 - y[coin][own]).sum() >= 10:
                     cuts[name] = best_threshold(scores[own], y[coin][own])
-        both = [0 < y.sum() < len(y)]
-        model = fit(raw, y, s, share) if all(both) else part
-        if not all(both):
-            model.arrays["out"][:] = 0
-            model.arrays["bias"][:] = np.log((share + 1e-6) / (1 - share + 1e-6))
-        yield pa.RecordBatch.from_pydict({"model": [model.pack()], "langs": [list(cuts)], "cuts": [list(cuts.values())]}, pa.schema([("model", pa.binary()), ("langs", pa.list_(pa.string())), ("cuts", pa.list_(pa.float64()))]))
+        model = fit(raw, y, s, share) if 0 < y.sum() < len(y) else constant(s, share)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([model.pack()], pa.binary()), pa.array([list(cuts)], pa.list_(pa.string())), pa.array([list(cuts.values())], pa.list_(pa.float64()))],
+            ["model", "langs", "cuts"],
+        )
 
     # the sample has a bound, so one task may hold it; what comes back is one model of fixed size
     row = rows.repartition(1).mapInArrow(learn, "model binary, langs array<string>, cuts array<double>").first()
+    if row is None:
+        return constant(s, share)
     return Model.unpack(bytes(row["model"]), s, dict(zip(row["langs"], row["cuts"], strict=True)))
 
 
+def constant(s: Settings, share: float) -> Model:
+    """A model that gives every text the share of ones: there is nothing to tell the two kinds apart by."""
+    model = fit([], np.zeros(0), s, share)
+    model.arrays["out"][:] = 0
+    model.arrays["bias"][:] = np.log((share + 1e-6) / (1 - share + 1e-6))
+    return model
+
+
 def _one(model: Model, text: bytes) -> float:
     data = np.frombuffer(text, np.uint8)
     ids, rows = word_ids(data, np.array([0, len(data)]), model.settings) if len(data) else (np.zeros((0, TABLES), np.int64), np.array([0, 0]))
