@@ -31,7 +31,7 @@ from siltstone.llm.shared import stored
 from siltstone.llm.text import LOWER, byte_blocks, fold, held_out, mix, word_hashes, word_spans
 
 #: Tokens that are counted at once in a task.
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 #: Entries of an array shard, about.
 SHARD = 1 << 21
 END = np.uint64(0xE2D0F7EE7A11D00D)
