@@ -24,13 +24,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 _shipped: set[str] = set()
+#: Texts that travel to a Python worker at once, at most: whole documents are long.
+BATCH_ROWS = 2000
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, as ``--py-files`` would.
 
-    Nothing is sent where ``PYTHONPATH``, which the workers share, already names its folder.
+    Nothing is sent where ``PYTHONPATH``, which the workers share, already names its folder. Larger Arrow batches of the
+    session are cut down to ``BATCH_ROWS`` rows.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     root = Path(__file__).resolve().parents[2]
     context = spark.sparkContext
     known = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]

@@ -63,14 +63,14 @@ def word_ids(data: np.ndarray, offsets: np.ndarray, s: Settings) -> tuple[np.nda
     begin = word_hashes(data, starts, np.minimum(ends, starts + s.prefix))
     mask = np.uint64((1 << s.bits) - 1)
     ids = [whole & mask, (mix(whole) >> np.uint64(20)) & mask, begin & mask]
-    return np.stack(ids, 1).astype(np.int64) + (np.arange(TABLES) << s.bits), rows
+    return np.stack(ids, 1).astype(np.int32) + (np.arange(TABLES, dtype=np.int32) << s.bits), rows
 
 
 def _laid_out(ids: np.ndarray, rows: np.ndarray, empty: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids with pads after every text, where texts begin, and the places where a window may not begin."""
     sizes = np.diff(rows)
     begins = rows[:-1] + PADS * np.arange(len(sizes))
-    out = np.full((len(ids) + PADS * len(sizes) + PADS, TABLES), empty)
+    out = np.full((len(ids) + PADS * len(sizes) + PADS, TABLES), empty, np.int32)
     out[np.arange(len(ids)) + PADS * np.repeat(np.arange(len(sizes)), sizes)] = ids
     closed = (begins + sizes)[:, None] + np.arange(1, PADS)
     return out, begins, closed.ravel()
@@ -119,7 +119,7 @@ def fit(texts: list[bytes], labels: np.ndarray, s: Settings, share: float) -> Mo
     docs = []
     for text in texts:
         data = np.frombuffer(text, np.uint8)
-        docs.append(word_ids(data, np.array([0, len(data)]), s)[0] if len(data) else np.zeros((0, TABLES), np.int64))
+        docs.append(word_ids(data, np.array([0, len(data)]), s)[0] if len(data) else np.zeros((0, TABLES), np.int32))
 
     def step(name: str, grad: np.ndarray, at: np.ndarray | None = None) -> None:
         if at is None:
@@ -205,7 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
         found.sort(key=lambda r: r["doc_id"])
         y = np.array([r["label"] for r in found], np.float64)
         coin = np.random.default_rng(5).random(len(found)) < 0.2
-        raw = [(r["text"] or "").lower().encode() for r in found]
+        raw = [(r.pop("text") or "").lower().encode() for r in found]
         part = fit([t for t, c in zip(raw, coin, strict=True) if not c], y[~coin], s, share)
         cuts = {}
         if coin.any() and 0 < y[coin].sum() < coin.sum():
@@ -216,6 +216,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
                 own = of == name
                 if y[coin][own].sum() >= 10 and (1 - y[coin][own]).sum() >= 10:
                     cuts[name] = best_threshold(scores[own], y[coin][own])
+        del part
         model = fit(raw, y, s, share) if 0 < y.sum() < len(y) else constant(s, share)
         yield pa.RecordBatch.from_arrays(
             [pa.array([model.pack()], pa.binary()), pa.array([list(cuts)], pa.list_(pa.string())), pa.array([list(cuts.values())], pa.list_(pa.float64()))],
