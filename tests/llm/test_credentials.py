@@ -8,7 +8,7 @@ import re
 
 from siltstone.llm.credentials import redacted, secret_spans
 from siltstone.llm.queries import QUERIES
-from tests.llm.conftest import edge_texts
+from tests.llm.helpers import edge_texts, frame, shipped  # noqa: F401
 
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 

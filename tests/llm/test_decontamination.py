@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from siltstone.llm.decontamination import contaminated, distances, holds_item, passage
-from tests.llm.conftest import edge_texts, sentence
+from tests.llm.helpers import edge_texts, frame, sentence, shipped  # noqa: F401
 
 
 def table(spark, rows):

@@ -11,7 +11,7 @@ import pytest
 
 from siltstone.llm.fingerprints import Settings, _toss, document_fingerprints, likeness, phrase_names, phrase_starts, sketches, spelled
 from siltstone.llm.queries import QUERIES
-from tests.llm.conftest import edge_texts, sentence
+from tests.llm.helpers import edge_texts, frame, sentence, shipped  # noqa: F401
 
 
 def own(text):

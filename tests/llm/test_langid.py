@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 
 from siltstone.llm.langid import Settings, languages, score_words, train, words_of
-from tests.llm.conftest import edge_texts
+from tests.llm.helpers import edge_texts, frame, shipped  # noqa: F401
 
 
 def corpus(n=300):

@@ -13,7 +13,7 @@ import pytest
 
 from siltstone.llm import arrays, language_model
 from siltstone.llm.queries import QUERIES
-from tests.llm.conftest import edge_texts, sentence
+from tests.llm.helpers import edge_texts, frame, sentence, shipped  # noqa: F401
 
 
 def tokens(text):

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 
 from siltstone.llm.packing import Encoder, packed, places, shortest_pack_first
 from siltstone.llm.queries import vocabulary
-from tests.llm.conftest import edge_texts, sentence
+from tests.llm.helpers import edge_texts, frame, sentence, shipped  # noqa: F401
 
 FILE = vocabulary("byte_bpe_50k.json")
 

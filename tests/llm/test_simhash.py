@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from siltstone.llm.components import components
 from siltstone.llm.queries import QUERIES
 from siltstone.llm.simhash import block_masks, forest, links, near_duplicates, one_of_each_group
-from tests.llm.conftest import edge_texts, sentence
+from tests.llm.helpers import edge_texts, frame, sentence, shipped  # noqa: F401
 
 
 def brute_fingerprint(text):

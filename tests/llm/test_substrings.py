@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from siltstone.llm.queries import QUERIES
 from siltstone.llm.substrings import window_anchors, without_repeats
 from siltstone.llm.suffixes import SuffixAutomaton
-from tests.llm.conftest import edge_texts, sentence
+from tests.llm.helpers import edge_texts, frame, sentence, shipped  # noqa: F401
 
 
 def brute(rows, window):

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from siltstone.llm.toxicity import Settings, best_threshold, fit, score, threshold, toxicity, train
-from tests.llm.conftest import edge_texts, sentence
+from tests.llm.helpers import edge_texts, frame, sentence, shipped  # noqa: F401
 
 SMALL = Settings(bits=12, epochs=4)
 BAD = ["vile", "rotten", "beastly"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.queries import URL_RULES
 from siltstone.llm.urls import blocked_filter, listed, may_contain
+from tests.llm.helpers import frame, shipped  # noqa: F401
 
 
 def entries(spark, rows=URL_RULES):
