@@ -55,7 +55,6 @@ def taxonomy_paths(
     parent: str,
     name: str,
     kind: str,
-    depth: int | None = None,
     area: str = "AREA",
     group: str = "GROUP",
     sep: str = " > ",
@@ -64,9 +63,8 @@ def taxonomy_paths(
 
     The area is the nearest node of kind ``area`` on the path; the domain is the first
     ``group`` below it. The tree is walked level by level: each level is one equi join of
-    the nodes with the level above. With ``depth`` (levels of the tree) the whole walk is
-    one lazy plan; without it every level is checkpointed and the walk ends at the first
-    empty one.
+    the nodes with the level above, is checkpointed, and the walk ends at the first empty
+    level, however deep the tree is.
     """
     base = nodes.select(
         F.col(id).alias("node_id"), F.col(parent).alias("parent_id"), F.col(name).alias("node_name"), F.col(kind).alias("node_kind")
@@ -82,11 +80,10 @@ def taxonomy_paths(
     level = base.where(F.col("parent_id").isNull()).select(
         "*", *placed(blank, blank), F.col("node_name").alias("taxonomy_path"), F.lit(1).alias("tree_level")
     )
-    if depth is None:
-        scratch_root(nodes.sparkSession)
-        level = level.checkpoint()
+    scratch_root(nodes.sparkSession)
+    level = level.checkpoint()
     out, number = level, 1
-    while depth is None or number < depth:
+    while True:
         number += 1
         above = level.select(
             F.col("node_id").alias("_up"), F.col("thematic_area").alias("_area"), F.col("domain").alias("_domain"), F.col("taxonomy_path").alias("_path")
@@ -97,12 +94,10 @@ def taxonomy_paths(
             F.concat_ws(sep, "_path", "node_name").alias("taxonomy_path"),
             F.lit(number).alias("tree_level"),
         )
-        if depth is None:
-            level = level.checkpoint()
-            if level.isEmpty():
-                break
+        level = level.checkpoint()
+        if level.isEmpty():
+            return out
         out = out.unionByName(level)
-    return out
 
 
 def area_rows_check(df: DataFrame, code: str, name: str, measures: Sequence[str]) -> DataFrame:

@@ -326,9 +326,10 @@ def global_text_filter(df: DataFrame, text: str) -> DataFrame:
 
 def capped_result(df: DataFrame, cap: int, order: Sequence[Column]) -> DataFrame:
     """The first ``cap`` rows with a flag telling whether there were more."""
-    probe = df.orderBy(*order).limit(cap + 1)
-    more = probe.agg((F.count(F.lit(1)) > cap).alias("more")).scalar()
-    return probe.orderBy(*order).limit(cap).withColumn("truncated", more)
+    probe = df.orderBy(*order).limit(cap + 1)  # no more rows than these meet in the window
+    every = Window.partitionBy(F.lit(1))
+    numbered = probe.select("*", F.row_number().over(every.orderBy(*order)).alias("_row"), (F.count(F.lit(1)).over(every) > cap).alias("truncated"))
+    return numbered.where(F.col("_row") <= cap).orderBy("_row").drop("_row")
 
 
 def result_page(df: DataFrame, order: Sequence[Column], offset: int, n: int) -> DataFrame:
@@ -343,10 +344,14 @@ def preview(df: DataFrame, n: int = 100, columns: Sequence[str] | None = None) -
 # --- SQL surface ------------------------------------------------------------------------
 
 
-def parameterized_sql(spark: SparkSession, text: str, parameters: Mapping[str, Any] | None = None, cap: int | None = None) -> DataFrame:
+def parameterized_sql(spark: SparkSession, text: str, parameters: Mapping[str, Any] | None = None) -> DataFrame:
     """Run SQL with ``:name`` parameters, bound by Spark and never spliced into the text."""
-    out = spark.sql(text, args=dict(parameters or {}))
-    return out if cap is None else out.limit(cap)
+    return spark.sql(text, args=dict(parameters or {}))
+
+
+def dashboard_dataset(spark: SparkSession, text: str, parameters: Mapping[str, Any], cap: int, order: Sequence[Column]) -> DataFrame:
+    """The first ``cap`` rows of a parameterised query, with a flag telling whether there were more."""
+    return capped_result(parameterized_sql(spark, text, parameters), cap, order)
 
 
 def create_view(df: DataFrame, name: str) -> None:

@@ -140,11 +140,13 @@ def value_reconciliation(
     """Class of each requested value against the bulk data (``outcome``).
 
     A key with several bulk rows is reported as ambiguous and never resolved by picking one.
-    The bulk data is folded to one row per key before it meets the requests, so a key with
-    very many bulk rows is combined where it lies; requests for one hot key are split by
-    adaptive execution, because the other side is unique.
+    Bulk rows nobody asks for are dropped first, by a semi join with the distinct requested
+    keys; the rest is folded to one row per key before it meets the requests, so a key with
+    very many bulk rows is combined where it lies. Values are compared as exact decimals of
+    any length and exponent; a side that is no number is told before one that is not finite.
     """
-    index = bulk.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(bulk_value).alias("_bulk"))
+    wanted = requested.select(*keys).distinct()
+    index = bulk.join(wanted, list(keys), "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(bulk_value).alias("_bulk"))
     joined = requested.join(index, list(keys), "left")
     mine, theirs = F.trim(F.col(value)), F.trim(F.col("_bulk"))
     odd = "(?i)^[+-]?(nan|inf|infinity)$"
@@ -158,18 +160,27 @@ def value_reconciliation(
         .when(F.col("_rows") != 1, F.lit("ambiguous_bulk_key"))
         .when(F.col(value).isNull(), F.lit("null_api_value_with_bulk_key"))
         .when(F.col("_bulk").isNull(), F.lit("bulk_value_null"))
+        .when(~(_parses(mine, odd) & _parses(theirs, odd)), F.lit("bulk_value_not_numeric"))
         .when(mine.rlike(odd) | theirs.rlike(odd), F.lit("nonfinite_value"))
-        .when(~(mine.rlike(DECIMAL_PATTERN) & theirs.rlike(DECIMAL_PATTERN)), F.lit("bulk_value_not_numeric"))
-        .when(_same_number(mine, theirs), F.lit("exact_numeric_match"))
+        .when(exact_number(mine) == exact_number(theirs), F.lit("exact_numeric_match"))
         .otherwise(F.lit("value_conflict"))
     )
     return joined.select(*requested.columns, outcome.alias("outcome"))
 
 
-def _same_number(a: Column, b: Column) -> Column:
-    """Exact decimal equality; numbers too long for a decimal compare by their digits."""
-    x, y = a.try_cast("decimal(38,18)"), b.try_cast("decimal(38,18)")
-    return F.when(x.isNotNull() & y.isNotNull(), x == y).otherwise(a == b)
+def _parses(text: Column, odd: str) -> Column:
+    return text.rlike(DECIMAL_PATTERN) | text.rlike(odd)
+
+
+def exact_number(text: Column) -> Column:
+    """Spelling that two number texts share exactly if they are equal: sign, digits without outer zeros, exponent."""
+    parts = r"^([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?$"
+    sign, whole, fraction, exponent = (F.regexp_extract(text, parts, i) for i in range(1, 5))
+    digits = F.ltrim(F.concat(whole, fraction), F.lit("0"))
+    kept = F.rtrim(digits, F.lit("0"))
+    power = F.coalesce(F.nullif(exponent, F.lit("")).try_cast("decimal(30,0)"), F.lit(0)) - F.length(fraction) + F.length(digits) - F.length(kept)
+    spelled = F.concat(F.when(sign == "-", "-").otherwise(""), kept, F.lit("e"), power.cast("string"))
+    return F.when(text.rlike(DECIMAL_PATTERN), F.when(kept == "", "0").otherwise(spelled))
 
 
 def outcome_counts(df: DataFrame, by: Sequence[str] = (), outcome: str = "outcome") -> DataFrame:

@@ -90,12 +90,12 @@ def read_dictionaries(spark: SparkSession, path: str, indicator_id: int, as_of:
     return bronze_dictionaries(read_csv_strict(spark, path, DICTIONARY_HEADINGS), indicator_id, as_of)
 
 
-def bronze_indicators(nodes: DataFrame, depth: int | None = None, as_of: datetime | None = None) -> DataFrame:
+def bronze_indicators(nodes: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Indicators of the taxonomy with their path, area and domain.
 
     ``nodes`` is the tree as rows: id, parent_id, name, name_en, type, indicator_id.
     """
-    walked = taxonomy_paths(nodes, id="id", parent="parent_id", name="name", kind="type", depth=depth)
+    walked = taxonomy_paths(nodes, id="id", parent="parent_id", name="name", kind="type")
     extra = nodes.select(F.col("id").alias("_id"), "indicator_id", F.coalesce("name_en", F.lit("")).alias("indicator_name_en"))
     leaves = walked.where("node_kind = 'INDICATOR'").join(extra.where("indicator_id is not null"), F.col("node_id") == F.col("_id"))
     return leaves.select(

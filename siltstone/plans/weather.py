@@ -44,7 +44,7 @@ def read_stations(spark: SparkSession, path: str, as_of: datetime | None = None,
 
 def read_synoptic(spark: SparkSession, folder: str, as_of: datetime | None = None) -> DataFrame:
     """Rows of a folder of extracted files; the name prefix tells the two families apart."""
-    main = read_positional_csv(spark, f"{folder}/s_d_[^t]*.csv", SYNOPTIC)
+    main = read_positional_csv(spark, f"{folder}/s_d_{{[^t]*,t[^_]*,t}}.csv", SYNOPTIC)
     companion = read_positional_csv(spark, f"{folder}/s_d_t_*.csv", COMPANION)
     return bronze_synoptic(main, companion, as_of)
 

@@ -234,7 +234,7 @@ def _decode_cube(spark, folder):
     "decode_wide_tsv",
     """
     with cells as (select event_type, user_id, cast(ts as date) as day, count(*) as n, max(try_cast(json_extract_string(props, '$.k') as integer)) as k from events group by all),
-    days as (select distinct day from cells where event_type = 'click'),
+    days as (select distinct day from cells),
     series as (select distinct event_type, user_id from events where user_id is not null),
     grid as (select * from series, days)
     select g.event_type as unit_code, 'U' || g.user_id as geo_code, strftime(g.day, '%Y-%m-%d') as period_key,
@@ -252,7 +252,7 @@ def _decode_wide_tsv(spark, folder):
         F.count(F.lit(1)).alias("n"), F.max(F.get_json_object("props", "$.k").try_cast("int")).alias("k")
     )
     # The period axis is read off the table; it is one short row.
-    days = [r[0] for r in cells.where("event_type = 'click'").select("day").distinct().orderBy("day").collect()]
+    days = [r[0] for r in cells.select("day").distinct().orderBy("day").collect()]
     shown = F.when(F.col("k") < 10, F.lit("  ")).otherwise(
         F.concat(F.col("n").cast("string"), F.lit(".50"), F.when(F.col("k") > 50, F.lit("  b p")).otherwise(F.lit(" ")))
     )
@@ -263,7 +263,7 @@ def _decode_wide_tsv(spark, folder):
         *[F.coalesce(F.col(f"`{d}`"), F.lit(": m")) for d in days],
     )
     header = "freq,unit,geo\\TIME_PERIOD\t" + "\t".join(f"{d} " for d in days)
-    lines = wide.select(line.alias("line")).repartition(spark.sparkContext.defaultParallelism).withColumn("header", F.lit(header))
+    lines = wide.select(line.alias("line")).withColumn("header", F.lit(header))
     return decode_wide_tsv(lines, "line", "header").select(
         F.element_at("dimensions", "unit").alias("unit_code"),
         F.element_at("dimensions", "geo").alias("geo_code"),
@@ -288,10 +288,11 @@ def _decode_wide_tsv(spark, folder):
     """,
 )
 def _unpivot_years(spark, folder):
-    years = [str(y) for y in range(1992, 2003)]
+    lines = table(spark, folder, "lineitem")
+    years = [r[0] for r in lines.select(F.date_format("l_shipdate", "yyyy").alias("y")).where("y is not null").distinct().orderBy("y").collect()]
     total = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("string")
     wide = (
-        table(spark, folder, "lineitem")
+        lines
         .withColumn("y", F.date_format("l_shipdate", "yyyy"))
         .groupBy("l_suppkey", "l_returnflag")
         .pivot("y", years)
@@ -311,11 +312,13 @@ def _unpivot_years(spark, folder):
 )
 def _unpivot_matrix(spark, folder):
     total = F.translate(F.sum(F.col("value").cast("decimal(18,2)")).cast("string"), ".", ",")
+    events = table(spark, folder, "events")
+    sensors = [r[0] for r in events.select("event_type").where("event_type is not null").distinct().orderBy("event_type").collect()]
     matrix = (
-        table(spark, folder, "events")
+        events
         .withColumn("Czas", F.date_format("ts", "dd.MM.yyyy HH:00"))
         .groupBy("Czas")
-        .pivot("event_type", list(EVENT_TYPES))
+        .pivot("event_type", sensors)
         .agg(total)
     )
     return unpivot_matrix(matrix, "Czas", F.lit("2024_pm25_24g.csv"))
@@ -452,7 +455,7 @@ def _taxonomy(spark, folder):
         .unionByName(node("nation", "N", "n_nationkey", ("R", "n_regionkey"), "n_name", "GROUP"))
         .unionByName(node("customer", "C", "c_custkey", ("N", "c_nationkey"), "c_name", "INDICATOR"))
     )
-    return taxonomy_paths(nodes, id="id", parent="parent", name="name", kind="type", depth=3)
+    return taxonomy_paths(nodes, id="id", parent="parent", name="name", kind="type")
 
 
 @query(

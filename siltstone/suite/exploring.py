@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from siltstone.operators.explore import (
     box_plot,
     capped_result,
+    dashboard_dataset,
     chart_aggregate,
     chart_transform,
     column_stats,
@@ -32,10 +33,15 @@ TABLES = (
 
 _PROFILED = {
     "l_orderkey": "bigint",
+    "l_partkey": "bigint",
+    "l_suppkey": "bigint",
     "l_linenumber": "int",
     "l_quantity": "double",
     "l_extendedprice": "double",
+    "l_discount": "double",
+    "l_tax": "double",
     "l_returnflag": "string",
+    "l_linestatus": "string",
     "l_shipdate": "timestamp_ntz",
 }
 
@@ -110,20 +116,27 @@ def _topk(spark, folder):
     return topk_values(joined, "p_brand")
 
 
-_STATS = {"o_orderstatus": "string", "o_orderpriority": "string", "o_custkey": "bigint", "o_orderkey": "bigint"}
+_STATS = {
+    "o_orderkey": "bigint",
+    "o_custkey": "bigint",
+    "o_orderstatus": "string",
+    "o_totalprice": "double",
+    "o_orderdate": "timestamp_ntz",
+    "o_orderpriority": "string",
+}
 
 
 def _stats_sql() -> str:
     parts = []
     for i, (c, kind) in enumerate(_STATS.items()):
-        numeric = kind != "string"
+        numeric = kind in ("bigint", "double")
         values = (
             "null"
-            if numeric
+            if kind != "string"
             else f"(select string_agg(v || '=' || n, ';' order by n desc, v) from (select {c} as v, count(*) as n from orders where {c} is not null group by 1 order by n desc, v limit 10))"
         )
         nums = [f"cast({f}({c}) as double)" if numeric else "cast(null as double)" for f in ("min", "max")]
-        avg = f"round(cast(sum({c}) as double) / count({c}), 3)" if numeric else "cast(null as double)"
+        avg = f"round(cast(sum(cast({c} as decimal(18,2))) as double) / count({c}), 3)" if numeric else "cast(null as double)"
         parts.append(
             f"select '{c}' as column_name, '{kind}' as data_type, count(*) as total_count, count(*) - count({c}) as null_count, count(distinct {c}) as unique_count, "
             f"{nums[0]} as min, {nums[1]} as max, {avg} as avg, {values} as top_values from orders"
@@ -288,6 +301,21 @@ def _text_filter(spark, folder):
     return global_text_filter(table(spark, folder, "documents"), "LICENSE").select("doc_id", "lang", "source", "n_chars")
 
 
+_TOP_ORDERS = "select o_orderkey, o_custkey, o_totalprice from orders_input where o_orderpriority <> :excluded"
+
+
+@query(
+    "dashboard_dataset",
+    """
+    select o_orderkey, o_custkey, o_totalprice, (select count(*) > 50 from orders where o_orderpriority <> '1-URGENT') as truncated
+    from orders where o_orderpriority <> '1-URGENT' order by o_totalprice desc, o_orderkey limit 50
+    """,
+)
+def _dashboard(spark, folder):
+    table(spark, folder, "orders").createOrReplaceTempView("orders_input")
+    return dashboard_dataset(spark, _TOP_ORDERS, {"excluded": "1-URGENT"}, 50, [F.desc("o_totalprice"), F.asc("o_orderkey")])
+
+
 @query(
     "parameterized_sql",
     """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from siltstone.functions.text import recode
 from siltstone.operators.decode import first_feature
@@ -135,7 +136,7 @@ def _wide_tsv_files(spark, folder):
 
     def distribution(name, code, column, day, dims):
         counted = table(spark, folder, name).groupBy(column, F.date_format(day, "yyyy").alias("y")).agg(F.count(F.lit(1)).alias("n"))
-        years = [str(y) for y in range(1992, 2003)]
+        years = [r[0] for r in counted.select("y").where("y is not null").distinct().orderBy("y").collect()]
         wide = counted.groupBy(column).pivot("y", years).agg(F.max("n"))
         line = F.concat_ws("\t", F.concat(F.lit(f"{code},"), column), *[F.coalesce(F.col(f"`{y}`").cast("string"), F.lit(":")) for y in years])
         head = spark.range(1).select(F.lit(dims + "\\TIME_PERIOD\t" + "\t".join(years)).alias("line"), F.lit(0).alias("o"))
@@ -188,6 +189,27 @@ def _import(spark, folder):
     return spark.sql("select cast(c_custkey as bigint) as c_custkey, c_name, c_acctbal from imported_customers where c_nationkey = 3")
 
 
+@query(
+    "import_ragged_file",
+    """
+    select c_custkey, c_name, case when c_custkey % 3 = 1 then null else c_mktsegment end as c_mktsegment, 'padded' as kind from customer where c_custkey % 3 <> 2
+    union all select c_custkey, c_name, c_mktsegment, 'strict' from customer where c_custkey % 3 = 0
+    """,
+)
+def _import_ragged(spark, folder):
+    """A third of the rows lacks a cell, a third has one too many."""
+    row = F.concat_ws(",", F.col("c_custkey").cast("string"), F.concat(F.lit('"'), "c_name", F.lit(',"')))
+    cells = F.when(F.col("c_custkey") % 3 == 1, row).when(F.col("c_custkey") % 3 == 0, F.concat_ws(",", row, "c_mktsegment")).otherwise(F.concat_ws(",", row, "c_mktsegment", F.lit("more")))
+    path = scratch_path(spark, "ragged")
+    table(spark, folder, "customer").select(cells).write.text(path)
+    schema = StructType.fromDDL("c_custkey bigint, c_name string, c_mktsegment string")
+    padded, strict = (
+        import_file(spark, path, "csv", f"ragged_{p}", header=False, ignore_errors=True, null_padding=p, schema=schema).withColumn("kind", F.lit(k))
+        for p, k in ((True, "padded"), (False, "strict"))
+    )
+    return padded.unionByName(strict).withColumn("c_name", F.rtrim("c_name", F.lit(",")))
+
+
 @query("register_layer", "select o_orderstatus, count(*) as orders from orders join customer on o_custkey = c_custkey group by 1")
 def _register(spark, folder):
     register_layer(spark, LAYERS[3], {t: f"{folder}/{t}.parquet" for t in ("orders", "customer")})

@@ -194,9 +194,8 @@ def tree(spark):
     )
 
 
-@pytest.mark.parametrize("depth", [None, 4, 9])
-def test_taxonomy_paths(spark, depth):
-    got = codes.taxonomy_paths(tree(spark), id="id", parent="parent", name="name", kind="type", depth=depth)
+def test_taxonomy_paths(spark):
+    got = codes.taxonomy_paths(tree(spark), id="id", parent="parent", name="name", kind="type")
     assert rows(got.where("node_kind = 'INDICATOR'"), "node_id", "taxonomy_path", "thematic_area", "domain", "tree_level") == [
         ("4", "Economy > Prices > Food > Bread", "Economy", "Prices", 4), ("6", "Loose > Odd", "", "", 2), ("7", "Economy > GDP", "Economy", "", 2),
     ]

@@ -73,6 +73,17 @@ def test_value_reconciliation(spark):
     }
 
 
+def test_values_are_compared_exactly(spark):
+    pairs = [("1.0E-19", "2.0E-19", 0), ("0.12345678901234567891", "0.12345678901234567892", 0), ("1e25", "10000000000000000000000000", 1),
+             ("1.50", "+1.5e0", 1), ("-0.0", "0e9", 1), ("-1", "1", 0), ("1e-400", "10e-401", 1), ("00120", "12E1", 1), (".5", "5e-1", 1), ("5.", "5", 1), ("9" * 60, "9" * 60 + ".0", 1), ("9" * 60, "9" * 59 + "8", 0)]
+    api = frame(spark, [(i, a) for i, (a, _, _) in enumerate(pairs)], "k int, v string")
+    bulk = frame(spark, [(i, b) for i, (_, b, _) in enumerate(pairs)], "k int, b string")
+    got = dict(rows(q.value_reconciliation(api, bulk, ["k"], "v", "b"), "k", "outcome"))
+    assert got == {i: "exact_numeric_match" if same else "value_conflict" for i, (*_, same) in enumerate(pairs)}
+    odd = q.value_reconciliation(frame(spark, [(1, "NaN"), (2, "NaN"), (3, "x")], "k int, v string"), frame(spark, [(1, "x"), (2, "1"), (3, "inf")], "k int, b string"), ["k"], "v", "b")
+    assert dict(rows(odd, "k", "outcome")) == {1: "bulk_value_not_numeric", 2: "nonfinite_value", 3: "bulk_value_not_numeric"}
+
+
 def test_rules(spark):
     df = frame(spark, [(1, 5, 4), (2, None, 4), (3, 1, 4)], "k int, bid int, ask int")
     rules = {"bid_above_ask": F.col("bid") > F.col("ask"), "bid_missing": F.col("bid").isNull()}

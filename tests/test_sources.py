@@ -5,6 +5,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltstone.plans import fx
 from siltstone.sources import catalog, readers, scratch, writers
@@ -135,8 +136,12 @@ def test_layers(spark, tmp_path):
     catalog.register_layer(spark, "02_bronze", {"quotes": path})
     assert rows(spark.sql("select code from `02_bronze`.`quotes`")) == [("USD",)]
     assert [t.count() for t in catalog.layer_tables(spark, "02_bronze").values()] == [1]
-    catalog.register_layer(spark, "02_bronze", {"many": [path, path]})
-    assert spark.table("02_bronze__many").count() == 2
+    wider = str(tmp_path / "w")
+    writers.write_dataset(spark.sql("select 'EUR' as code, 2 as n"), wider)
+    for _ in range(2):
+        catalog.register_layer(spark, "02_bronze", {"many": [path, wider]})
+        assert rows(spark.table("`02_bronze`.`many`"), "code", "n") == [("EUR", 2), ("USD", None)]
+    assert sorted(catalog.layer_tables(spark, "02_bronze")) == ["many", "quotes"]
 
 
 def test_imports(spark, tmp_path):
@@ -147,6 +152,16 @@ def test_imports(spark, tmp_path):
     assert rows(text) == [("1",), ("2",)]
     stored = catalog.import_file(spark, str(tmp_path / "i.csv"), "csv", "imported_table", delimiter="|", as_view=False, table_path=str(tmp_path / "st"))
     assert stored.count() == 2 and spark.table("imported_table").count() == 2
+    ragged = str(tmp_path / "r.csv")
+    (tmp_path / "r.csv").write_text('a,b\n1,"x,y"\n2\n3,z,9\nq,"""w"\n4,v\n')
+    schema = StructType.fromDDL("a int, b string")
+    kept = catalog.import_file(spark, ragged, "csv", "ragged", schema=schema, ignore_errors=True)
+    assert rows(kept) == [(1, "x,y"), (2, None), (4, "v")] and kept.count() == 3
+    whole = catalog.import_file(spark, ragged, "csv", "ragged", schema=schema, ignore_errors=True, null_padding=False)
+    assert rows(whole) == [(1, "x,y"), (4, "v")] and whole.count() == 2
+    for padding in (True, False):
+        with pytest.raises(Exception, match="row does not fit"):
+            catalog.import_file(spark, ragged, "csv", "ragged", schema=schema, null_padding=padding).count()
     (tmp_path / "i.json").write_text('{"a": 1}\n{"a": 2}\n')
     assert catalog.import_file(spark, str(tmp_path / "i.json"), "json", "imported_json").count() == 2
 
