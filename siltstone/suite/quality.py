@@ -158,7 +158,7 @@ _API = """
     judged as (
       select api.*, case when code = '' then 'missing_code' when n is null then case when value is null then 'null_api_value_absent_from_bulk' else 'missing_bulk_key' end
                 when n <> 1 then 'ambiguous_bulk_key' when value is null then 'null_api_value_with_bulk_key' when b is null then 'bulk_value_null'
-                when b = 'NaN' then 'nonfinite_value' when value = 'n/a' then 'bulk_value_not_numeric'
+                when value = 'n/a' then 'bulk_value_not_numeric' when b = 'NaN' then 'nonfinite_value'
                 when cast(value as decimal(18,2)) = cast(trim(b) as decimal(18,2)) then 'exact_numeric_match' else 'value_conflict' end as outcome
       from api left join idx using (l_orderkey, l_linenumber))
 """
