@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from siltstone.suite import decoding, dimensions, exploring, ledgers, quality, storing  # noqa: F401
+from siltstone.suite import decoding, dimensions, exploring, ledgers, pipelines, quality, storing  # noqa: F401
 from siltstone.suite.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
