@@ -160,6 +160,14 @@ def _codes(index: Column) -> Column:
     )
 
 
+def _well_placed(index: Column) -> Column:
+    """Whether an index gives every code one place, without gaps, and no code twice."""
+    places = F.array_sort(F.map_values(F.from_json(index, "map<string,int>")))
+    wanted = F.when(F.size(places) > 0, F.sequence(F.lit(0), F.size(places) - 1)).otherwise(F.array().cast("array<int>"))
+    codes = F.from_json(index, "array<string>")
+    return F.when(_is_list(index), F.size(F.array_distinct(codes)) == F.size(codes)).otherwise(places == wanted)
+
+
 def _entries(text: Column) -> Column:
     """Sorted (position, value) pairs of a sparse position map; NULL for the list form."""
     pairs = F.map_entries(F.from_json(text, "map<string,string>"))
@@ -190,7 +198,8 @@ def decode_cube(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame
 
     Adds the cell's position, its complete dimension key as sorted JSON with its hash, the
     value as text and as a number, its status, and whether it is missing. A body that is no
-    consistent cube fails the query.
+    consistent cube fails the query: an absent value member, dimensions that are repeated, unlisted
+    or without a size of their own, codes without one place each, or lists of the wrong length.
 
     Everything that belongs to the cube and not to the cell (code lists, strides, the JSON
     piece of every code) is prepared once per body, before the cells explode.
@@ -208,6 +217,7 @@ def decode_cube(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame
                 F.lit(1).cast("long"),
                 lambda acc, s: acc * s,
             ).alias("stride"),
+            _well_placed(F.element_at(F.col("c.dimension"), name)["category"]["index"]).alias("placed"),
         ),
     )
     laid = parsed.select(
@@ -236,6 +246,11 @@ def decode_cube(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame
     sound = (
         (F.col("c.version") == "2.0")
         & (F.col("c.class") == "dataset")
+        & F.col("c.value").isNotNull()
+        & (F.size("c.id") == F.size("c.size"))
+        & (F.size(F.array_distinct("c.id")) == F.size("c.id"))
+        & (F.size(F.array_except(F.map_keys("c.dimension"), "c.id")) == 0)
+        & F.forall("dims", lambda d: d["placed"])
         & F.forall("dims", lambda d: F.size(d["codes"]) == d["size"])
         & (F.size("values") == F.col("total"))
         & (F.size("statuses") == F.col("total"))

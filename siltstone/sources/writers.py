@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -60,39 +61,54 @@ def export_result(df: DataFrame, path: str, fmt: str, single_file: bool = False)
 def append_missing_keys(incoming: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """Append the rows whose key the table does not hold; running it again appends nothing.
 
-    Returns one row of counts: what was there, what was appended, what is there now. The
-    counts must add up, else the call fails.
+    Returns one row of counts: what was there, what was appended, what is there now. The call fails if rows are gone
+    or a key is still missing.
     """
     spark = incoming.sparkSession
     held = spark.read.parquet(path)
     before = held.count()
     fresh = incoming.join(held.select(*keys).distinct(), list(keys), "left_anti")
     fresh.write.mode("append").option("compression", "zstd").parquet(path)
-    after = spark.read.parquet(path).agg(
-        F.count(F.lit(1)).alias("rows_after"), F.count_distinct(F.struct(*keys)).alias("keys_after")
-    )
-    expected = incoming.select(*keys).distinct().join(spark.read.parquet(path).select(*keys).distinct(), list(keys), "left_anti")
-    return after.select(
+    now = spark.read.parquet(path)
+    after = now.agg(F.count(F.lit(1)).alias("rows_after"), F.count_distinct(F.struct(*keys)).alias("keys_after"))
+    expected = incoming.select(*keys).distinct().join(now.select(*keys).distinct(), list(keys), "left_anti")
+    counts = after.select(
         F.lit(before).cast("long").alias("rows_before"),
         (F.col("rows_after") - before).alias("rows_appended"),
         "rows_after",
         "keys_after",
         expected.agg(F.count(F.lit(1)).alias("n")).scalar().alias("keys_missing"),
     )
+    found = counts.first()
+    if found["rows_appended"] < 0 or found["keys_missing"]:
+        raise ValueError(f"append does not add up: {found.asDict()}")
+    return spark.createDataFrame([found], counts.schema)
 
 
 def promote_identity(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Copy a table to the next layer unchanged and prove the row count."""
+    """Copy a table to the next layer unchanged and prove the row count.
+
+    A target of another schema is refused before anything is overwritten, and the call fails if the counts differ.
+    """
     df = spark.read.parquet(source)
+    try:
+        there = spark.read.parquet(target).schema
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    else:
+        if there.simpleString() != df.schema.simpleString():
+            raise ValueError("promotion would change the schema of its target")
     df.write.mode("overwrite").option("compression", "zstd").parquet(target)
     copy = spark.read.parquet(target)
     counts = df.agg(F.count(F.lit(1)).alias("source_rows"))
     proof = counts.select(
         "source_rows", copy.agg(F.count(F.lit(1)).alias("n")).scalar().alias("target_rows")
     ).withColumn("row_count_equal", F.col("source_rows") == F.col("target_rows"))
-    if copy.schema.simpleString() != df.schema.simpleString():
-        raise ValueError("promotion changed the schema")
-    return proof
+    found = proof.first()
+    if not found["row_count_equal"]:
+        raise ValueError(f"promotion lost rows: {found.asDict()}")
+    return spark.createDataFrame([found], proof.schema)
 
 
 def require_rows(df: DataFrame, label: str) -> DataFrame:

@@ -106,6 +106,32 @@ def test_cube_that_does_not_add_up_fails(spark):
         decode.decode_cube(bodies(spark, json.dumps(doc)), "body").collect()
 
 
+def broken_cubes():
+    base = {
+        "version": "2.0", "class": "dataset", "label": "l", "updated": "u", "id": ["a", "b"], "size": [2, 2], "value": [1, 2, 3, 4],
+        "dimension": {"a": {"category": {"index": {"p": 0, "q": 1}}}, "b": {"category": {"index": ["x", "y"]}}},
+    }
+    yield base, True
+    yield {**base, "value": {}}, True
+    yield {k: v for k, v in base.items() if k != "value"}, False
+    yield {**base, "id": ["a", "a"]}, False
+    yield {**base, "size": [2, 2, 1]}, False
+    yield {**base, "id": ["a"], "size": [2, 2]}, False
+    yield {**base, "dimension": {**base["dimension"], "c": base["dimension"]["a"]}}, False
+    for index in ({"p": 0, "q": 0}, {"p": 1, "q": 2}, ["p", "p"], {"p": 0}):
+        yield {**base, "dimension": {**base["dimension"], "a": {"category": {"index": index}}}}, False
+
+
+@pytest.mark.parametrize("doc, sound", list(broken_cubes()))
+def test_cube_guard(spark, doc, sound):
+    cells = decode.decode_cube(bodies(spark, json.dumps(doc)), "body")
+    if sound:
+        assert cells.count() == 4
+    else:
+        with pytest.raises(Exception, match="inconsistent statistical cube"):
+            cells.collect()
+
+
 def tsv(spark, header, *lines):
     return spark.createDataFrame([(line, header) for line in lines], "line string, header string")
 

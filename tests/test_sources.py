@@ -122,6 +122,11 @@ def test_promotion_export_and_materialize(spark, tmp_path):
     source, target = str(tmp_path / "s"), str(tmp_path / "t")
     df = writers.write_dataset(spark.range(5).selectExpr("id", "id * 2 as x"), source)
     assert tuple(writers.promote_identity(spark, source, target).first()) == (5, 5, True)
+    other = str(tmp_path / "other")
+    spark.range(1).selectExpr("id as x").write.parquet(other)
+    with pytest.raises(ValueError, match="schema"):
+        writers.promote_identity(spark, source, other)
+    assert spark.read.parquet(other).columns == ["x"]
     writers.export_result(df, str(tmp_path / "c"), "csv")
     assert readers.read_csv_text(spark, str(tmp_path / "c")).count() == 5
     with pytest.raises(ValueError):
