@@ -30,7 +30,7 @@ from siltstone.llm.text import byte_blocks, gram_hashes, word_hashes, word_spans
 WINDOW = 20
 GRAM = 5
 #: Passages of one anchor in one part of a shard, about.
-PART = 2048
+PART = 256
 PLACE_BITS = np.uint64(28)
 WORD_BYTES = 6
 #: The largest place in the order of documents.
