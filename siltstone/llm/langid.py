@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from siltstone.llm.text import byte_blocks, fold, held_out, span_hashes
 
 UNDETERMINED = "und"
+#: Sampled ids that may be sent to every task; beyond it, the texts are shuffled.
+BROADCAST_ROWS = 1_000_000
 _tables: list[np.ndarray] = []
 
 
@@ -117,7 +119,8 @@ def train(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_i
     ids = rows.where(fold("doc_id", s.folds) != 0).select("doc_id", "lang").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("langid"), "doc_id"), "doc_id"))
     chosen = ids.withColumn("rank", rank).where(F.col("rank") <= s.documents).drop("rank")
-    sample = rows.join(chosen, ["doc_id", "lang"])
+    small = ids.select("lang").distinct().count() * s.documents <= BROADCAST_ROWS
+    sample = rows.join(F.broadcast(chosen) if small else chosen, ["doc_id", "lang"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
