@@ -126,6 +126,11 @@ def pending_inputs(inputs: DataFrame, represented: DataFrame, key: str, represen
     return inputs.join(done, key, "left_anti")
 
 
+def rows_with_keys(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys are in a list; the list may repeat keys, and a key with a NULL is in no list."""
+    return df.join(listed.select(*keys).distinct(), list(keys), "left_semi")
+
+
 # --- reconciliation of values -----------------------------------------------------------
 
 

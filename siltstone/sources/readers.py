@@ -67,9 +67,9 @@ def read_envelopes(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
-    """JSON documents with an inferred schema, one or more per file."""
-    return spark.read.option("multiLine", True).json(path)
+def read_json_documents(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """JSON documents with an inferred schema: one object or array per file, or one document per line."""
+    return spark.read.option("multiLine", not lines).json(path)
 
 
 def read_csv_text(spark: SparkSession, path: str | Sequence[str], sep: str = ",", **options: str) -> DataFrame:

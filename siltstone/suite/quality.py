@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from siltstone.operators.intervals import latest_outcome
 from siltstone.operators.metrics import Metric, grain_check, latest_dates_window, metric_crosscheck, query_metric
 from siltstone.operators.quality import (
     dataset_differences,
@@ -17,7 +18,9 @@ from siltstone.operators.quality import (
     page_checks,
     partition_homogeneity,
     pending_inputs,
+    profile_differences,
     repeated_in_group,
+    rows_with_keys,
     rule_violations,
     value_reconciliation,
 )
@@ -249,6 +252,50 @@ def _profile(spark, folder):
     return dataset_profile(table(spark, folder, "orders"), "orders", "o_orderdate")
 
 
+@query(
+    "profile_differences",
+    """
+    select 'orders' as dataset_id, 'row_count' as field, cast((select count(*) from orders where o_orderstatus <> 'P') as varchar) as expected, cast((select count(*) from orders) as varchar) as observed
+    where (select count(*) from orders where o_orderstatus = 'P') > 0
+    union all select 'gone', f, v, null from (select unnest(['row_count', 'min_date', 'max_date', 'column_types']) as f, unnest([cast((select count(*) from customer) as varchar), null, null,
+        'c_custkey:bigint']) as v) where v is not null
+    """,
+)
+def _profile_differences(spark, folder):
+    """A contract recorded before the pending orders came, with a dataset that is no longer there."""
+    orders = table(spark, folder, "orders")
+    recorded = dataset_profile(orders.where("o_orderstatus <> 'P'"), "orders", "o_orderdate").unionByName(
+        dataset_profile(table(spark, folder, "customer").select("c_custkey"), "gone")
+    )
+    whole = dataset_profile(orders, "orders", "o_orderdate")
+    bounds = recorded.where("dataset_id = 'orders'").select(F.col("min_date").alias("lo"), F.col("max_date").alias("hi"))
+    whole = whole.withColumns({"min_date": bounds.select("lo").scalar(), "max_date": bounds.select("hi").scalar()})
+    return profile_differences(whole, recorded)
+
+
+@query(
+    "rows_with_keys",
+    "select l_orderkey, l_linenumber, l_quantity from lineitem where (l_orderkey, l_linenumber) in (select l_orderkey, l_linenumber from lineitem where l_returnflag = 'R' and l_discount > 0.05)",
+)
+def _rows_with_keys(spark, folder):
+    lines = table(spark, folder, "lineitem")
+    wanted = lines.where("l_returnflag = 'R' and l_discount > 0.05").select("l_orderkey", "l_linenumber")
+    return rows_with_keys(lines, wanted.unionByName(wanted), ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query(
+    "latest_outcome",
+    """
+    select o_custkey, cast(o_orderdate as date) as day_from, cast(o_orderdate as date) as day_to, o_orderstatus, o_orderkey from orders
+    qualify row_number() over (partition by o_custkey, cast(o_orderdate as date) order by o_orderkey desc) = 1
+    """,
+)
+def _latest_outcome(spark, folder):
+    day = F.col("o_orderdate").cast("date")
+    tried = table(spark, folder, "orders").select("o_custkey", day.alias("day_from"), day.alias("day_to"), "o_orderstatus", "o_orderkey")
+    return latest_outcome(tried, ["o_custkey"], "day_from", "day_to", ["o_orderkey"])
+
+
 @query(
     "partition_homogeneity",
     """

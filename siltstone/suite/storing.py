@@ -15,6 +15,10 @@ from siltstone.sources.readers import (
     read_csv_strict,
     read_csv_text,
     read_csv_tolerant,
+    read_csv_typed,
+    read_envelopes,
+    read_json_documents,
+    read_jsonl_lines,
     read_positional_csv,
     read_union_by_name,
     read_wide_tsv,
@@ -76,6 +80,39 @@ def _csv_text(spark, folder):
     return read_csv_text(spark, _csv(df, "csv-text"))
 
 
+@query("csv_typed", "select s_suppkey, s_name, s_nationkey, cast('2024-01-01' as date) as day from supplier")
+def _csv_typed(spark, folder):
+    df = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey", F.lit("2024-01-01").alias("day"))
+    return read_csv_typed(spark, _csv(df, "csv-typed", sep=";"), "s_suppkey bigint, s_name string, s_nationkey int, day date")
+
+
+@query("read_envelopes", "select cast(o_orderkey as varchar) as batch_id, o_custkey as sequence, o_orderstatus as body_json from orders")
+def _envelopes(spark, folder):
+    path = scratch_path(spark, "envelopes")
+    orders = table(spark, folder, "orders")
+    orders.select(F.col("o_orderkey").cast("string").alias("batch_id"), F.col("o_custkey").alias("sequence"), F.col("o_orderstatus").alias("body_json")).write.json(path)
+    return read_envelopes(spark, path, "batch_id string, sequence bigint, body_json string")
+
+
+@query("json_documents", "select o_custkey, count(*) as orders, sum(o_orderkey) as keys from orders group by 1")
+def _json_documents(spark, folder):
+    """Documents with an array of rows inside, types found by reading."""
+    path = scratch_path(spark, "documents")
+    rows = F.collect_list(F.struct(F.col("o_orderkey").alias("key"), "o_orderstatus"))
+    table(spark, folder, "orders").groupBy("o_custkey").agg(rows.alias("rows")).write.json(path)
+    documents = read_json_documents(spark, path, lines=True).select("o_custkey", F.explode("rows").alias("r"))
+    return documents.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.sum("r.key").alias("keys"))
+
+
+@query("jsonl_lines", "select cast(o_orderkey as varchar) as key, o_orderpriority as priority from orders where o_orderstatus = 'F'")
+def _jsonl_lines(spark, folder):
+    path = scratch_path(spark, "jsonl")
+    table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus").write.json(path)
+    lines = read_jsonl_lines(spark, path)
+    fields = {c: F.get_json_object("line", f"$.{c}") for c in ("o_orderkey", "o_orderpriority", "o_orderstatus")}
+    return lines.where(fields["o_orderstatus"] == "F").select(fields["o_orderkey"].alias("key"), fields["o_orderpriority"].alias("priority"))
+
+
 @query("csv_tolerant", "select cast(c_custkey as varchar) as id, c_name as name, c_mktsegment as segment from customer where c_nationkey <> 7")
 def _csv_tolerant(spark, folder):
     path = scratch_path(spark, "csv-tolerant")
