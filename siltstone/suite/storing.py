@@ -94,7 +94,7 @@ def _envelopes(spark, folder):
     return read_envelopes(spark, path, "batch_id string, sequence bigint, body_json string")
 
 
-@query("json_documents", "select o_custkey, count(*) as orders, sum(o_orderkey) as keys from orders group by 1")
+@query("json_documents", "select o_custkey, count(*) as orders, cast(sum(o_orderkey) as bigint) as keys from orders group by 1")
 def _json_documents(spark, folder):
     """Documents with an array of rows inside, types found by reading."""
     path = scratch_path(spark, "documents")
