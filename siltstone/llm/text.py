@@ -76,6 +76,7 @@ def byte_blocks(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK) -> Itera
         last = min(n, max(last, row + 1))
         yield row, offsets[row : last + 1] - offsets[row], data[offsets[row] : offsets[last]]
         row = last
+    pa.default_memory_pool().release_unused()  # workers live on; what this batch took goes back
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, inside_of: np.ndarray = WORD_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

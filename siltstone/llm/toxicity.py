@@ -206,6 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
         y = np.array([r["label"] for r in found], np.float64)
         coin = np.random.default_rng(5).random(len(found)) < 0.2
         raw = [(r.pop("text") or "").lower().encode() for r in found]
+        pa.default_memory_pool().release_unused()
         part = fit([t for t, c in zip(raw, coin, strict=True) if not c], y[~coin], s, share)
         cuts = {}
         if coin.any() and 0 < y[coin].sum() < coin.sum():
