@@ -145,3 +145,44 @@ def test_one_of_each_group(spark, frame):
     want = [1000 + i for i in range(clean)] + [2000 + i for i in range(20)] + [5, 6, None]
     assert got == sorted(map(str, want))
     assert one_of_each_group(frame([])).collect() == []
+
+
+def shingles(text):
+    words = text.split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def zipf(rng, n):
+    return [f"w{int(x)}" for x in np.minimum(rng.zipf(1.3, n), 50_000)]
+
+
+def copies(rng, kind, pairs=60):
+    """Pairs of texts with a five-word-shingle similarity of 0.83 to 0.9: copies of one kind."""
+    for _ in range(pairs):
+        words = zipf(rng, int(rng.integers(150, 600)))
+        n = len(words)
+        if kind == "appended":
+            other = words + zipf(rng, n // 7)
+        elif kind == "truncated":
+            other = words[: n - n // 7]
+        elif kind == "replaced":
+            at, size = int(rng.integers(0, n * 9 // 10)), n // 15
+            other = words[:at] + zipf(rng, size) + words[at + size :]
+        else:
+            other = list(words)
+            for at in rng.choice(n, max(1, n // 60), replace=False):
+                other[at] = "edited"
+        yield " ".join(words), " ".join(other)
+
+
+@pytest.mark.parametrize("kind", ["appended", "truncated", "replaced", "scattered"])
+def test_pairs_alike_by_brute_force_lose_one(spark, frame, kind):
+    rows, alike = [], 0
+    for i, (a, b) in enumerate(copies(np.random.default_rng(3), kind)):
+        x, y = shingles(a), shingles(b)
+        if len(x & y) / len(x | y) >= 0.83:  # the long fingerprint is within about 0.03
+            alike += 1
+            rows += [(2 * i, a), (2 * i + 1, b)]
+    assert alike >= 15
+    kept = {r.doc_id for r in one_of_each_group(frame(rows)).collect()}
+    assert len(kept) <= alike + alike * 0.1 and all(i in kept for i, _ in rows if i % 2 == 0)
