@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 
 from siltstone.llm.components import components
 from siltstone.llm.queries import QUERIES
-from siltstone.llm.simhash import block_masks, forest, links, near_duplicates, one_of_each_group
+from siltstone.llm.simhash import block_masks, forest, links, near_duplicates, one_of_each_group, walk_alike
 from tests.llm.helpers import edge_texts, frame, sentence, shipped  # noqa: F401
 
 
@@ -186,3 +186,35 @@ def test_pairs_alike_by_brute_force_lose_one(spark, frame, kind):
     assert alike >= 15
     kept = {r.doc_id for r in one_of_each_group(frame(rows)).collect()}
     assert len(kept) <= alike + alike * 0.1 and all(i in kept for i, _ in rows if i % 2 == 0)
+
+
+def test_copies_alike_through_their_original_only_in_a_large_file(spark, frame):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in rng.permutation(200)]
+    rows = [(9999, " ".join(words))]
+    for i in range(2500):  # the same words, 0.87 from the original and about 0.75 from each other
+        at = int(rng.integers(5, 180))
+        rows.append((i, " ".join(words[:at] + rng.permutation(words[at : at + 10]).tolist() + words[at + 10 :])))
+    assert one_of_each_group(frame(rows)).count() <= 5
+
+
+def test_a_star_is_one_component_at_any_file_size(monkeypatch):
+    monkeypatch.setattr("siltstone.llm.simhash.WALK", 500)
+    rng = np.random.default_rng(5)
+    centre = rng.integers(0, 1 << 63, 16, dtype=np.uint64)
+    longs = np.stack([centre ^ np.packbits(rng.permutation(1024) < 110).view(np.uint64) for _ in range(3000)])
+    longs[1700] = centre
+    a, b = walk_alike(longs, 155)
+    assert len(a) == 2999 and len(set(groups_of(3000, a, b))) == 1
+
+
+def groups_of(n, a, b):
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        after = root.copy()
+        np.minimum.at(after, a, low)
+        np.minimum.at(after, b, low)
+        if (after == root).all():
+            return root.tolist()
+        root = after
