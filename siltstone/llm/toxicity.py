@@ -4,7 +4,8 @@ A word is the sum of three hashed embeddings: two of the whole word, so that one
 word, and one of its first bytes. Case does not count. Filters of several widths run over the words of the whole text; the maximum of each
 filter goes into a logistic layer. The classifier is fitted on at most ``Settings.positives`` + ``Settings.negatives``
 labelled documents, chosen by a hash of their id, in one task; the intercept is moved back to the share of positives among
-all labelled rows. A fifth of the sample is held back to place a threshold for each language.
+all labelled rows. A second classifier is fitted without a fifth of the sample. It scores all labelled rows, and what it was not
+fitted on places a threshold for each language, with the weight that both kinds have among all labelled rows.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.shared import stored
 from siltstone.llm.text import PLAIN_BYTES, byte_blocks, fold, held_out, mix, word_hashes, word_spans
 
 TABLES = 3
@@ -166,16 +168,64 @@ def fit(texts: list[bytes], labels: np.ndarray, s: Settings, share: float) -> Mo
     return Model(s, a)
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The cut with the best F1, in the middle of the gap below the lowest score that is taken."""
-    order = np.argsort(-scores, kind="stable")
-    ranked = scores[order]
-    hits = np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + labels.sum())
-    f1[:-1][ranked[:-1] == ranked[1:]] = -1  # equal scores fall on one side
+def best_cut(low: np.ndarray, high: np.ndarray, ones: np.ndarray, rows: np.ndarray) -> float:
+    """The cut with the best F1 between bins of scores, in the middle of the gap below the lowest score that is taken.
+
+    Bins do not overlap; each has its lowest and highest score, the weight of its ones and of all its rows.
+    """
+    order = np.argsort(-low, kind="stable")
+    f1 = 2 * np.cumsum(ones[order]) / (np.cumsum(rows[order]) + ones.sum())
     best = int(np.argmax(f1))
-    below = ranked[best + 1] if best + 1 < len(ranked) else 0.0
-    return float((ranked[best] + below) / 2)
+    below = high[order][best + 1] if best + 1 < len(order) else 0.0
+    return float((low[order][best] + below) / 2)
+
+
+def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
+    """The cut of single scores; equal scores fall on one side."""
+    values, at = np.unique(scores, return_inverse=True)
+    return best_cut(values, values, np.bincount(at, labels), np.bincount(at).astype(float))
+
+
+#: Bins of scores, for each unit of log odds.
+BINS = 64
+#: Rows of each kind that a language needs for a threshold of its own.
+LEAST = 10
+
+
+def thresholds(scored: DataFrame) -> dict[str, float]:
+    """Threshold by language, and for "" that of all, from rows (lang, label, score, fitted).
+
+    Rows that the model was fitted on count for the totals only: the others of a language and label stand for them.
+    """
+    odds = F.greatest(F.lit(1e-12), F.least(F.lit(1 - 1e-7), F.col("score")))
+    own = F.coalesce("lang", F.lit(""))
+    fresh = ~F.col("fitted")
+    bins = (
+        scored.select(own.alias("lang"), "label", "score", "fitted", F.floor(F.log(odds / (1 - odds)) * BINS).alias("bin"))
+        .groupBy("lang", "label", "bin")
+        .agg(F.count("*").alias("total"), F.count_if(fresh).alias("n"), F.min(F.when(fresh, F.col("score"))).alias("low"), F.max(F.when(fresh, F.col("score"))).alias("high"))
+        .withColumn("group", F.explode(F.array_distinct(F.array("lang", F.lit("")))))
+        .groupBy("group", "label", "bin")
+        .agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    )
+
+    def cut(key: tuple, rows: pa.Table) -> pa.Table:
+        label, bin_, total, n = (rows[c].to_numpy().astype(np.int64) for c in ("label", "bin", "total", "n"))
+        name = key[0].as_py()
+        counts = [n[label == y].sum() for y in (0, 1)]
+        if min(counts) < (LEAST if name else 1):
+            return pa.table({"name": pa.array([], pa.string()), "cut": pa.array([], pa.float64())})
+        weight = n * np.array([total[label == y].sum() / counts[y] for y in (0, 1)])[label]
+        used = n > 0
+        _, at = np.unique(bin_[used], return_inverse=True)
+        low, high = np.full(at.max() + 1, np.inf), np.zeros(at.max() + 1)
+        np.minimum.at(low, at, rows["low"].to_numpy()[used])
+        np.maximum.at(high, at, rows["high"].to_numpy()[used])
+        found = best_cut(low, high, np.bincount(at, (weight * label)[used]), np.bincount(at, weight[used]))
+        return pa.table({"name": pa.array([name], pa.string()), "cut": pa.array([found], pa.float64())})
+
+    found = bins.groupBy("group").applyInArrow(cut, "name string, cut double").collect()  # one row a language
+    return {r["name"]: r["cut"] for r in found}
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
@@ -195,40 +245,38 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
     totals = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = totals.get(1, 0) / max(1, sum(totals.values()))
     mixed = F.xxhash64(F.lit("sample"), "doc_id")
+    coin = (F.pmod(F.xxhash64(F.lit("held back"), "doc_id"), F.lit(5)) == 0).alias("coin")
     sample = marked.where("label = 1").orderBy(mixed).limit(s.positives).unionByName(marked.where("label = 0").orderBy(mixed).limit(s.negatives))
+    sample = stored(sample.select("doc_id", "label", coin), "sample")
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     # at most positives + negatives ids, so they may be sent to every task
-    rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text"), F.min("lang").alias("lang"))
+    rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), F.max("coin").alias("coin"), F.min("text").alias("text"))
 
     def learn(batches):
         found = [r for b in batches for r in b.to_pylist()]
         found.sort(key=lambda r: r["doc_id"])
         y = np.array([r["label"] for r in found], np.float64)
-        coin = np.random.default_rng(5).random(len(found)) < 0.2
+        held = np.array([r["coin"] for r in found], bool)
         raw = [(r.pop("text") or "").lower().encode() for r in found]
         pa.default_memory_pool().release_unused()
-        part = fit([t for t, c in zip(raw, coin, strict=True) if not c], y[~coin], s, share)
-        cuts = {}
-        if coin.any() and 0 < y[coin].sum() < coin.sum():
-            scores = np.array([_one(part, t) for t, c in zip(raw, coin, strict=True) if c])
-            of = np.array([r["lang"] or "" for r in found])[coin]
-            cuts[""] = best_threshold(scores, y[coin])
-            for name in sorted(set(of)):
-                own = of == name
-                if y[coin][own].sum() >= 10 and (1 - y[coin][own]).sum() >= 10:
-                    cuts[name] = best_threshold(scores[own], y[coin][own])
-        del part
+        part = None
+        if 0 < y[~held].sum() < (~held).sum():
+            part = fit([t for t, h in zip(raw, held, strict=True) if not h], y[~held], s, share).pack()
         model = fit(raw, y, s, share) if 0 < y.sum() < len(y) else constant(s, share)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([model.pack()], pa.binary()), pa.array([list(cuts)], pa.list_(pa.string())), pa.array([list(cuts.values())], pa.list_(pa.float64()))],
-            ["model", "langs", "cuts"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array([model.pack()], pa.binary()), pa.array([part], pa.binary())], ["model", "part"])
 
-    # the sample has a bound, so one task may hold it; what comes back is one model of fixed size
-    row = rows.repartition(1).mapInArrow(learn, "model binary, langs array<string>, cuts array<double>").first()
+    # the sample has a bound, so one task may hold it; what comes back is two models of fixed size
+    row = rows.repartition(1).mapInArrow(learn, "model binary, part binary").first()
     if row is None:
         return constant(s, share)
-    return Model.unpack(bytes(row["model"]), s, dict(zip(row["langs"], row["cuts"], strict=True)))
+    if row["part"] is None:
+        return Model.unpack(bytes(row["model"]), s, {})
+    part = Model.unpack(bytes(row["part"]), s, {})
+    scored = texts.where(fold("doc_id", s.folds) != 0).select("doc_id", "lang", score(part, docs, F.col("text")).alias("score"))
+    fitted = sample.where("not coin").select("doc_id", F.lit(True).alias("fitted"))
+    labelled = scored.join(marked, "doc_id").join(F.broadcast(fitted), "doc_id", "left")
+    one = labelled.groupBy("doc_id").agg(F.max("label").alias("label"), F.min(F.struct("lang", "score")).alias("at"), F.max(F.coalesce("fitted", F.lit(False))).alias("fitted"))
+    return Model.unpack(bytes(row["model"]), s, thresholds(one.select("label", "at.lang", "at.score", "fitted")))
 
 
 def constant(s: Settings, share: float) -> Model:

@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from siltstone.llm.toxicity import Settings, best_threshold, fit, score, threshold, toxicity, train
+from siltstone.llm.toxicity import Settings, best_threshold, fit, score, threshold, thresholds, toxicity, train
 from tests.llm.helpers import edge_texts, frame, sentence, shipped  # noqa: F401
 
 SMALL = Settings(bits=12, epochs=4)
@@ -80,3 +80,26 @@ def test_threshold_and_share():
     model = fit([b"good words", b"vile words"] * 20, np.array([0.0, 1.0] * 20), SMALL, 0.01)
     even = fit([b"good words", b"vile words"] * 20, np.array([0.0, 1.0] * 20), SMALL, 0.5)
     assert model.arrays["bias"][0] < even.arrays["bias"][0]
+
+
+def test_thresholds_follow_all_labelled_rows(spark, frame):
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(2500):
+        toxic = int(rng.random() < 0.1)
+        words = sentence(rng, 12).split()
+        if rng.random() < (0.85 if toxic else 0.08):  # scores overlap
+            words[rng.randrange(12)] = rng.choice(BAD)
+        rows.append((i, " ".join(words), "xx" if rng.random() < 0.25 else "en"))
+        labels.append((i, toxic))
+    docs, marks = tables(spark, frame, rows, labels)
+    model = train(docs, marks, Settings(bits=12, epochs=4, positives=60, negatives=100))
+    assert set(model.thresholds) == {"", "en", "xx"}  # of the sample, a fifth has about 3 toxic rows in xx
+
+
+def test_sampled_rows_weigh_as_much_as_they_stand_for(spark):
+    # 40 ones and 40 zeros are fresh, but there are ten times as many zeros: the cut must be at the upper step
+    rows = [("en", 1, 0.9, False)] * 30 + [("en", 1, 0.6, False)] * 10 + [("en", 0, 0.6, False)] * 8 + [("en", 0, 0.1, False)] * 32 + [("en", 0, 0.1, True)] * 360
+    got = thresholds(spark.createDataFrame(rows, "lang string, label int, score double, fitted boolean"))
+    assert set(got) == {"", "en"} and all(0.6 < t < 0.9 for t in got.values())
+    assert best_threshold(np.array([r[2] for r in rows[:80]]), np.array([r[1] for r in rows[:80]])) < 0.6
