@@ -2,8 +2,9 @@
 
 A test item of m words has an error budget of e = floor(m * (1 - similarity)) word edits. It is cut into e + 1 pieces of
 m // (e + 1) words. A passage within the budget leaves at least one piece intact, so every passage is next to an exact hit
-of a piece; the words around each hit are then verified by the bit-parallel edit distance of the whole item. Words are
-letters and digits in lower case; what stands between them does not count.
+of a piece; the words around each hit are then verified by the bit-parallel edit distance of the whole item. Items of fewer
+than five words have no budget and are found as they stand. Words are runs of letters, digits and marks in lower case; what
+stands between them does not count. Scripts without spaces between words have a word for every character.
 
 The items are sent to the tasks in parts of at most ``PART_CHARS`` characters; a larger benchmark takes more passes over
 the documents, never a larger broadcast.
@@ -11,8 +12,10 @@ the documents, never a larger broadcast.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +27,16 @@ from pyspark.sql import functions as F
 from siltstone.llm.text import PLAIN_BYTES, byte_blocks, gram_hashes, word_hashes, word_spans
 
 SIMILARITY = 0.8
-#: Shorter items are ordinary phrases and prove nothing.
-MIN_WORDS = 8
+#: Every item with a word is searched.
+MIN_WORDS = 1
 PART_CHARS = 16_000_000
 FILTER_BITS = 20
+#: Code points of scripts that are written without spaces: Thai, Lao, Tibetan, Myanmar, Khmer, Tai, kana, bopomofo and Han.
+UNSPACED = [
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3038, 0x303C),
+    (0x3040, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+    (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF),
+]
 
 
 @dataclass
@@ -41,12 +50,44 @@ class Items:
     pieces: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
+@cache
+def kinds() -> np.ndarray:
+    """By code point: 0 between words, 1 in a word, 2 a word of its own."""
+    kind = np.array([unicodedata.category(chr(c))[0] in "LNM" for c in range(0x110000)], np.uint8)
+    for first, last in UNSPACED:
+        kind[first : last + 1] *= 2
+    kind[[0x200C, 0x200D]] = 1  # joiners
+    return kind
+
+
+def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words, and where each row's words begin in these arrays."""
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return word_spans(data, offsets, PLAIN_BYTES)
+    width = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+    code = (data[lead] & np.array([0, 0, 0x1F, 0x0F, 0x07], np.uint8)[width]).astype(np.int32)
+    for k in range(1, 4):
+        more = width > k
+        code[more] = code[more] << 6 | data[lead[more] + k] & 0x3F
+    kind = kinds()[code]
+    inside = PLAIN_BYTES[data]
+    for k in range(4):
+        inside[lead[width > k] + k] = kind[width > k] > 0
+    opens = np.zeros(len(data) + 1, bool)
+    alone = kind == 2
+    opens[lead[alone]] = opens[(lead + width)[alone]] = opens[offsets] = True
+    starts = np.flatnonzero(inside & (opens[:-1] | ~np.append(False, inside[:-1])))
+    ends = np.flatnonzero(inside & (opens[1:] | ~np.append(inside[1:], False))) + 1
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
 def words_in(text: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, word hashes, where each row's words begin) of runs of rows."""
     if isinstance(text, pa.ChunkedArray):
         text = text.combine_chunks()
     for row, offsets, data in byte_blocks(pc.utf8_lower(text)):
-        starts, ends, rows = word_spans(data, offsets, PLAIN_BYTES)
+        starts, ends, rows = spans(data, offsets)
         yield row, word_hashes(data, starts, ends), rows
 
 
@@ -152,6 +193,10 @@ def matches(items: Items, hashes: np.ndarray, rows: np.ndarray, first_only: bool
         r, k = int(row[lo]), int(item[lo])
         words, budget = items.words[k], items.budgets[k]
         begin, end = int(rows[r]), int(rows[r + 1])
+        if not budget:  # the piece is the whole item
+            done = r
+            yield r, k, 0, int(at[lo]) - begin, int(at[lo]) + len(words) - begin
+            continue
         starts = np.maximum(begin, at[lo:hi] - budget)
         ends = np.minimum(end, at[lo:hi] + len(words) + budget)
         best = None
@@ -180,7 +225,7 @@ def parts(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", si
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per row of ``docs`` and distinct benchmark row found in it: doc_id, item_id, distance, start, end (in words).
 
-    Null and empty texts hold nothing. Items of fewer than ``min_words`` words are left out. Repeated documents give repeated
+    Null and empty texts hold nothing. Items of fewer than ``min_words`` words, by default those without any, are left out. Repeated documents give repeated
     rows; repeated benchmark rows count once. Other columns are not read. An empty benchmark gives an empty result.
     """
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))

@@ -92,3 +92,31 @@ def test_parts_of_a_large_benchmark(spark, frame, monkeypatch):
     monkeypatch.setattr("siltstone.llm.decontamination.PART_CHARS", 300)
     assert {(r.doc_id, r.item_id) for r in contaminated(docs, table(spark, items)).collect()} == {(i, i) for i, _ in items}
     assert all(r[0] for r in docs.select(holds_item(docs, table(spark, items), docs.text)).collect())
+
+
+def test_short_items_and_scripts_without_spaces(spark, frame):
+    items = [
+        (1, "Who wrote Emma?"),
+        (2, "光合作用的主要产物是什么物质呢"),
+        (3, "ประเทศไทยมีเมืองหลวงชื่อว่าอะไร"),
+        (4, "one two three four five six seven"),
+        (5, "“When” did the—old—war end…"),
+        (6, "?!"),
+        (7, "Ωmega"),
+    ]
+    docs = frame(
+        [
+            (1, "Quiz: who wrote Emma, and when"),
+            (2, "请问植物光合作用的主要产物是什么物质呢这个问题很简单"),
+            (3, "ถามว่าประเทศไทยมีเมืองหลวงชื่อว่าอะไรครับ"),
+            (4, "zero one two three other five six seven eight"),
+            (5, "so when did the old war end"),
+            (6, "who wrote Anna, when did they, 光合作用, one two"),
+            (7, "an ωmega"),
+            (8, "ωmegas"),
+            (9, "请问植物光合作用的重要产物是什么物质呢"),
+        ]
+    )
+    got = sorted((r.doc_id, r.item_id, r.distance, r.start, r.end) for r in contaminated(docs, table(spark, items)).collect())
+    assert [g[:3] for g in got] == [(1, 1, 0), (2, 2, 0), (3, 3, 0), (4, 4, 1), (5, 5, 0), (7, 7, 0), (9, 2, 1)]
+    assert got[0][3:] == (1, 4) and got[1][3:] == (4, 19)
