@@ -6,7 +6,8 @@ their local maxima begin phrases of a few symbols. A phrase is named by a hash o
 level's symbols. Where a phrase begins depends on few symbols around it, so equal substrings get the same names inside,
 wherever they stand. Runs of one symbol count as one symbol while phrases are cut, and in full when they are named.
 
-The fingerprint is a bottom-k sketch of the names of all phrases from ``Settings.lowest`` levels up, with the root.
+The fingerprint is a bottom-k sketch of the names of all phrases from ``Settings.lowest`` levels up, with the root. Short
+texts have a second sketch, of the levels below. Two short texts are compared by all levels, other texts by those both have.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ HEX = 8  # digits of a sketch value
 @dataclass(frozen=True)
 class Settings:
     lowest: int = 2
-    short: int = 512  # bytes; shorter texts have few phrases, so theirs count from level 1
+    short: int = 512  # bytes; shorter texts have few phrases, so the lower levels of theirs are sketched too
     keep: int = 48
 
 
@@ -69,8 +70,11 @@ def phrase_starts(symbols: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return heads[top]
 
 
-def phrase_names(data: np.ndarray, offsets: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """(row, name) of the phrases of all rows, from their lowest level up and with the root of every row; empty rows have none."""
+def phrase_names(data: np.ndarray, offsets: np.ndarray, s: Settings, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(row, name) of the phrases of all rows from ``s.lowest`` levels up and with the root of every row; empty rows have none.
+
+    With ``lower``, instead those of the levels below, of short rows and without roots.
+    """
     filled = np.flatnonzero(np.diff(offsets) > 0)
     if not len(filled):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -79,41 +83,64 @@ def phrase_names(data: np.ndarray, offsets: np.ndarray, s: Settings) -> tuple[np
     short = np.diff(rows) < s.short
     found_rows, found = [], []
     level = 0
-    while len(filled):  # every level has fewer symbols in a row, down to one, its root
+    while len(filled) and not (lower and level + 1 >= s.lowest):  # every level has fewer symbols in a row, down to one, its root
         starts = phrase_starts(symbols, rows)
         names = span_hashes(codes, starts, np.append(starts[1:], len(symbols)))
         sizes = np.diff(np.append(np.searchsorted(starts, rows[:-1]), len(names)))
         level += 1
         root = sizes == 1
-        counted = np.repeat(short | root if level < s.lowest else np.ones(len(filled), bool), sizes)
+        high = root | (level >= s.lowest)
+        counted = np.repeat(short & ~high if lower else high, sizes)
         found_rows.append(np.repeat(filled, sizes)[counted])
         found.append(mix(names[counted] + np.uint64(level)))
         symbols = codes = names[np.repeat(~root, sizes)]
         filled, short = filled[~root], short[~root]
         rows = np.append(0, np.cumsum(sizes[~root]))
-    return np.concatenate(found_rows), np.concatenate(found)
+    return np.concatenate([np.zeros(0, np.int64), *found_rows]), np.concatenate([np.zeros(0, np.uint64), *found])
+
+
+def _bottom(row: np.ndarray, name: np.ndarray, rows: int, keep: int) -> Iterator[np.ndarray]:
+    keys = np.unique((row.astype(np.uint64) << np.uint64(32)) | (name >> np.uint64(32)))
+    bounds = np.searchsorted(keys, np.arange(rows + 1).astype(np.uint64) << np.uint64(32))
+    values = (keys & np.uint64(0xFFFFFFFF)).astype(">u4")
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        yield values[a : min(b, a + keep)]
 
 
-def sketches(column: pa.Array, s: Settings) -> Iterator[np.ndarray]:
-    """The ``keep`` smallest 32-bit values of every text's names, ascending; an empty text has none."""
+def sketches(column: pa.Array, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """The ``keep`` smallest 32-bit values of every text's names, ascending, and those of a short text's lower levels.
+
+    An empty text has none of the first. The second is None for texts that are not short.
+    """
     for _, offsets, data in byte_blocks(column, 1 << 19):
-        row, name = phrase_names(data, offsets, s)
-        keys = np.unique((row.astype(np.uint64) << np.uint64(32)) | (name >> np.uint64(32)))
-        bounds = np.searchsorted(keys, np.arange(len(offsets)).astype(np.uint64) << np.uint64(32))
-        values = (keys & np.uint64(0xFFFFFFFF)).astype(">u4")
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            yield values[a : min(b, a + s.keep)]
+        rows = len(offsets) - 1
+        short = np.diff(offsets) < s.short
+        high = _bottom(*phrase_names(data, offsets, s), rows, s.keep)
+        # the lower levels of the short texts only
+        own = data[np.repeat(short, np.diff(offsets))]
+        ends = np.append(0, np.cumsum(np.where(short, np.diff(offsets), 0)))
+        low = _bottom(*phrase_names(own, ends, s, True), rows, s.keep)
+        for x, y, brief in zip(high, low, short, strict=True):
+            yield x, y if brief else None
 
 
-def spelled(values: np.ndarray) -> str:
-    return values.astype(">u4").tobytes().hex()
+def spelled(values: tuple[np.ndarray, np.ndarray | None]) -> str:
+    """Hex digits of the sketch; after a dot those of the lower levels, where a text is short. The empty text has none."""
+    high, low = (None if v is None else v.astype(">u4").tobytes().hex() for v in values)
+    return high if low is None or not high else f"{high}.{low}"
 
 
 def likeness(a: str, b: str, keep: int) -> float:
-    """Share of the smallest values of both that are in each: the Jaccard likeness of the name sets, estimated."""
+    """Share of the smallest values of both that are in each: the Jaccard likeness of the name sets, estimated.
+
+    The names are those of the levels that both fingerprints have.
+    """
     if a == b:
         return 1.0
-    x, y = (np.frombuffer(bytes.fromhex(t), ">u4") for t in (a, b))
+    if "." in a and "." in b:
+        x, y = (np.union1d(*(np.frombuffer(bytes.fromhex(v), ">u4") for v in t.split(".")))[:keep] for t in (a, b))
+    else:
+        x, y = (np.frombuffer(bytes.fromhex(t.partition(".")[0]), ">u4") for t in (a, b))
     smallest = np.union1d(x, y)[:keep]
     return float(np.isin(np.intersect1d(x, y), smallest).sum() / len(smallest)) if len(smallest) else 1.0
 

@@ -76,3 +76,16 @@ def test_likeness():
     a, b = own("The quick brown fox jumps over the lazy dog. " * 3), own("Something else entirely, without a common phrase")
     assert likeness(a, a, 48) == 1.0 and likeness("", "", 48) == 1.0 and likeness(a, "", 48) == 0.0
     assert 0 <= likeness(a, b, 48) < 0.2
+
+
+def test_texts_on_both_sides_of_the_short_bound_are_compared_by_common_levels():
+    rng = random.Random(8)
+    found = []
+    for _ in range(20):
+        text = sentence(rng, 200)[:505]
+        longer = text + " more words"
+        shorter = text[:-11]
+        found.append((likeness(own(text), own(longer), 48), likeness(own(shorter), own(text), 48)))
+    across, below = np.mean(found, axis=0)
+    assert across > 0.75 and abs(across - below) < 0.15
+    assert likeness(own(text), own(sentence(rng, 300)), 48) < 0.2
