@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import credentials, decontamination, fingerprints, langid, language_model, packing, simhash, substrings, toxicity, urls
+from siltstone.llm import credentials, decontamination, digests, fingerprints, langid, language_model, packing, simhash, substrings, toxicity, urls
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -104,3 +104,15 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return langid.languages(docs, langid.train(docs))
+
+
+@query(
+    "op11_exact_dedup",
+    r"""
+    with texts as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256 from documents),
+    groups as (select text_sha256, min(doc_id) as keep_id, count(*) as group_size from texts group by text_sha256)
+    select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from texts join groups using (text_sha256)
+    """,
+)
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return digests.new_index(spark).add(table(spark, folder, "documents"), "documents")
