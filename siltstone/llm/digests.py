@@ -88,7 +88,8 @@ class DigestIndex:
         groups = stored(groups.select("digest", F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("first"), F.lit(batch).alias("batch"), "n"), "groups")
         self.append(self.unseen(groups))
         known = self.entries().select("digest", "keep_id", (F.col("batch") == batch).alias("own"))
-        groups = self.dealt(groups.select("digest", "first", "n")).hint("merge").join(known, "digest")
+        # stored, so the join with the rows has a shuffle of its own, whose hot partitions can be split
+        groups = stored(self.dealt(groups.select("digest", "first", "n")).hint("merge").join(known, "digest"), "known")
         kept = F.col("own") & (F.col("row") == F.col("first"))
         found = rows.join(groups, "digest")
         return found.select("doc_id", "keep_id", F.col("n").alias("group_size"), kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
