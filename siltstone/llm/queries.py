@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import credentials, decontamination, digests, fingerprints, langid, language_model, packing, simhash, substrings, toxicity, urls
+from siltstone.llm import credentials, decontamination, digests, fingerprints, langid, language_model, manifest, packing, simhash, spelling, substrings, toxicity, urls
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -116,3 +116,89 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return digests.new_index(spark).add(table(spark, folder, "documents"), "documents")
+
+
+#: crc32 in SQL: the table of its 256 steps, and the fold over the bytes of a list.
+SQL_CRC_TABLE = "select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) as steps"
+SQL_CRC = "xor(list_reduce({bytes}, lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295)"
+SQL_BYTES = "flatten(list_transform(string_split({text}, ''), lambda x: case when ord(x) < 128 then [ord(x)::bigint] else [192 + (ord(x) >> 6), 128 + (ord(x) & 63)]::bigint[] end))"
+
+
+@query(
+    "op12_spelling_variants",
+    rf"""
+    with recursive crc_table as ({SQL_CRC_TABLE}),
+    found as (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) as raw from documents),
+    runs as (select doc_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from found where length(raw) >= 6),
+    hashed as (select run, {SQL_CRC.format(bytes=SQL_BYTES.format(text="concat(doc_id, ':', run)"))} as h from runs, crc_table),
+    words as (
+        select case when h % 199 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, count(*) as n
+        from hashed group by 1 having length(word) >= 6 and count(*) >= 5),
+    cuts as (select word, n, i, substr(word, 1, i::int) || substr(word, i::int + 2) as rest from words, lateral (select unnest(range(length(word))) as i)),
+    pairs as (
+        select c.word, w.word as near, w.n as near_n from cuts c join words w on c.rest = w.word
+        union select w.word, c.word, c.n from cuts c join words w on c.rest = w.word
+        union select a.word, b.word, b.n from cuts a join cuts b on a.rest = b.rest and a.i = b.i and a.word <> b.word),
+    best as (select word, count(*) as n_near, first(near order by near_n desc, near) as near, max(near_n) as near_n from pairs group by word),
+    forms as (
+        select words.word, n, coalesce(n_near, 0) as n_near, case when near_n >= 5 * n then near end as form, case when near_n >= 5 * n then near_n end as form_n
+        from words left join best on words.word = best.word),
+    chain as (
+        select word, word as root, form as further from forms
+        union all
+        select chain.word, forms.word, forms.form from chain join forms on chain.further = forms.word)
+    select forms.word, n, n_near, form, form_n::bigint as form_n, root
+    from forms join chain on forms.word = chain.word and chain.further is null
+    """,
+)
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+SQL_LEAF = " || ".join(f"coalesce(strlen({c}::varchar) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "{n_chars}", "text"))
+
+
+@query(
+    "op13_merkle_manifest",
+    rf"""
+    with recursive crc_table as ({SQL_CRC_TABLE}),
+    leaves as (
+        select doc_id, lang, row_number() over (partition by lang order by doc_id) - 1 as pos, sha256({SQL_LEAF.format(n_chars="n_chars")}) as leaf,
+            case when {SQL_CRC.format(bytes=SQL_BYTES.format(text="doc_id::varchar"))} % 7 = 0 then sha256({SQL_LEAF.format(n_chars="(n_chars + 1)")}) end as other
+        from documents, crc_table),
+    nodes as (
+        select lang, 0 as level, pos, leaf as digest, count(*) over (partition by lang) as n from leaves
+        union all
+        select lang, level + 1, pos // 2, sha256(string_agg(digest, '' order by pos)), (any_value(n) + 1) // 2
+        from nodes where n > 1 group by lang, level, pos // 2),
+    subroots as (select lang, level, digest as subroot, row_number() over (order by lang nulls first) - 1 as place from nodes where n = 1),
+    heads as (
+        select 0 as level, place as pos, subroot as digest, count(*) over () as n from subroots
+        union all
+        select level + 1, pos // 2, sha256(string_agg(digest, '' order by pos)), (any_value(n) + 1) // 2
+        from heads where n > 1 group by level, pos // 2),
+    top as (select digest as root, level from heads where n = 1),
+    steps as (
+        select leaves.lang, leaves.pos, s.level, place, subroot, root, s.level + top.level as levels, unnest(range(s.level + top.level)) as step
+        from leaves join subroots s on leaves.lang is not distinct from s.lang, top),
+    beside as (
+        select t.lang, t.pos, t.step, (case when t.step < t.level then t.pos >> t.step else t.place >> (t.step - t.level) end) & 1 as side,
+            coalesce(n.digest, h.digest, '') as sibling
+        from steps t
+        left join nodes n on t.step < t.level and n.lang is not distinct from t.lang and n.level = t.step and n.pos = xor(t.pos >> t.step, 1)
+        left join heads h on t.step >= t.level and h.level = t.step - t.level and h.pos = xor(t.place >> (t.step - t.level)::int, 1)),
+    proofs as (
+        select lang, pos, list({{'side': side, 'sibling': sibling}} order by step) as path, sha256(string_agg(sibling, '' order by step)) as proof_sha256
+        from beside group by lang, pos)
+    select doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) as proof_sha256,
+        list_reduce(coalesce(path, []), lambda d, x: {{'side': 0, 'sibling': sha256(case when x.side = 1 then x.sibling || d.sibling else d.sibling || x.sibling end)}}, {{'side': 0, 'sibling': coalesce(other, leaf)}}).sibling as folded_root,
+        folded_root = root as verified
+    from leaves l join subroots s on l.lang is not distinct from s.lang left join proofs p on l.lang is not distinct from p.lang and l.pos = p.pos, top
+    """,
+)
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = [*fields[:3], F.col("n_chars") + 1, fields[4]]
+    candidate = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return manifest.manifest(docs, fields, "lang", "doc_id", candidate, tampered)

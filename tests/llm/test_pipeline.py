@@ -80,7 +80,7 @@ def test_run_equals_the_stages(spark, stages):
 def test_queries_return_a_row_per_document(spark, name):
     df = QUERIES[name](spark, FOLDER)
     n = {"op2": spark.read.parquet(f"{FOLDER}/pages.parquet").count()}.get(name.split("_")[0], stages_count(spark))
-    if name.split("_")[0] in ("op4", "op9"):
+    if name.split("_")[0] in ("op4", "op9", "op12"):
         assert df.count() > 0
     else:
         assert df.count() == n
