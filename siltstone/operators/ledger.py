@@ -151,18 +151,32 @@ def revision_ledger(
     )
     # Equal fields are equal JSON: rows are folded by their fields, and the text is written
     # once per version instead of once per row.
-    versions = (
-        shaped.groupBy(*fields)
-        .agg(
-            F.min("_seen").alias("first_seen_at_utc"),
-            F.max("_seen").alias("last_seen_at_utc"),
-            F.count(F.lit(1)).alias("replayed_response_count"),
-            *[F.min(f"_ev_{s}").alias(f"first_{s}") for s in kept],
-            *[F.max(f"_ev_{s}").alias(f"last_{s}") for s in kept],
-        )
-        .withColumn("canonical_record_json", canonical_json(fields))
-        .withColumn(hash_column, record_hash("canonical_record_json"))
+    versions = shaped.groupBy(*fields).agg(
+        F.min("_seen").alias("first_seen_at_utc"),
+        F.max("_seen").alias("last_seen_at_utc"),
+        F.count(F.lit(1)).alias("replayed_response_count"),
+        *[F.min(f"_ev_{s}").alias(f"first_{s}") for s in kept],
+        *[F.max(f"_ev_{s}").alias(f"last_{s}") for s in kept],
+    )
+    return number_versions(
+        versions, keys=keys, fields=fields, events=events, default_event=default_event, look_back=look_back, hash_column=hash_column, order_by_text=order_by_text, chunk=chunk
     )
+
+
+def number_versions(
+    versions: DataFrame,
+    *,
+    keys: Sequence[str],
+    fields: Sequence[str],
+    events: Sequence[tuple[str, Sequence[str]]],
+    default_event: str = "observed_metadata_changed",
+    look_back: Sequence[str] = (),
+    hash_column: str = "canonical_record_sha256",
+    order_by_text: bool = False,
+    chunk: Column | str | None = None,
+) -> DataFrame:
+    """The ledger of folded versions: one row per distinct ``fields`` with its first and last sighting."""
+    versions = versions.withColumn("canonical_record_json", canonical_json(fields)).withColumn(hash_column, record_hash("canonical_record_json"))
     tie = "canonical_record_json" if order_by_text else hash_column
     looked_at = list(dict.fromkeys([hash_column, *[f for _, group in events for f in group], *look_back]))
     lined = annotate_sequence(
@@ -212,20 +226,68 @@ def revision_runs(
     first and last by the order. ``events`` lists (label, state column); the first changed
     column classifies the run.
     """
-    numbered = number_runs(df, keys, order, state, chunk=chunk)
-    position = F.struct(*order)
+    pieces = run_pieces(df, keys=keys, order=order, state=state, payload=payload, seen_at=seen_at, evidence=evidence, chunk=chunk)
+    return runs_of_pieces(
+        pieces, keys=keys, state=state, payload=payload, evidence=list(evidence or {}), events=events, default_event=default_event, chunk=None if chunk is None else "_grain"
+    )
 
-    def opening(name: str) -> Column:
-        return F.min_by(F.col(name), F.when(F.col(name).isNotNull(), position))
 
-    runs = numbered.groupBy(*keys, F.col("_run").alias("revision_number")).agg(
-        F.max("_runs").alias("revision_count"),
-        *[opening(c).alias(c) for c in [*state, *payload]],
+def _opening(name: str, position: Column) -> Column:
+    """Aggregate: the first known value by position."""
+    return F.min_by(F.col(name), F.when(F.col(name).isNotNull(), position)).alias(name)
+
+
+def run_pieces(
+    df: DataFrame,
+    *,
+    keys: Sequence[str],
+    order: Sequence[str],
+    state: Sequence[str],
+    payload: Sequence[str] = (),
+    seen_at: str,
+    evidence: Mapping[str, str] | None = None,
+    chunk: Column | str | None = None,
+) -> DataFrame:
+    """Runs of equal states inside each (key, ``_grain``), with the place ``_at`` where each begins.
+
+    Without a chunk these are the runs themselves. The rows are shuffled once; what follows works on pieces.
+    """
+    rows = df.select("*", (F.lit(0) if chunk is None else as_column(chunk)).alias("_grain"))
+    numbered = number_runs(rows, [*keys, "_grain"], order, state)
+    position = F.struct(*order)
+    return numbered.groupBy(*keys, "_grain", F.col("_run").alias("_piece")).agg(
+        F.min(position).alias("_at"),
+        *[_opening(c, position) for c in [*state, *payload]],
         F.min(seen_at).alias("first_seen_at_utc"),
         F.max(seen_at).alias("last_seen_at_utc"),
         F.count(F.lit(1)).alias("replayed_response_count"),
         *[F.min_by(c, position).alias(f"first_{s}") for s, c in (evidence or {}).items()],
         *[F.max_by(c, position).alias(f"last_{s}") for s, c in (evidence or {}).items()],
+    )
+
+
+def runs_of_pieces(
+    pieces: DataFrame,
+    *,
+    keys: Sequence[str],
+    state: Sequence[str],
+    payload: Sequence[str] = (),
+    evidence: Sequence[str] = (),
+    events: Sequence[tuple[str, str]],
+    default_event: str = "observed_metadata_changed",
+    chunk: str | None = None,
+) -> DataFrame:
+    """The run ledger of pieces in the order of ``_at``: equal states on both sides of a chunk's border are one run."""
+    numbered = number_runs(pieces, keys, ["_at"], state, chunk=chunk)
+    position = F.col("_at")
+    runs = numbered.groupBy(*keys, F.col("_run").alias("revision_number")).agg(
+        F.max("_runs").alias("revision_count"),
+        *[_opening(c, position) for c in [*state, *payload]],
+        F.min("first_seen_at_utc").alias("first_seen_at_utc"),
+        F.max("last_seen_at_utc").alias("last_seen_at_utc"),
+        F.sum("replayed_response_count").alias("replayed_response_count"),
+        *[F.min_by(f"first_{s}", position).alias(f"first_{s}") for s in evidence],
+        *[F.max_by(f"last_{s}", position).alias(f"last_{s}") for s in evidence],
         F.min_by("_prev", position).alias("_before"),
     )
     kind = F.when(F.col("revision_number") == 1, F.lit("first_observed"))
@@ -337,6 +399,7 @@ def change_events(
     record: Sequence[str] | None = None,
     labels: Mapping[str, str] | None = None,
     chunk_steps: int | None = None,
+    responses: DataFrame | None = None,
 ) -> DataFrame:
     """Value changes, metadata changes, disappearances and returns between responses.
 
@@ -345,7 +408,8 @@ def change_events(
     response of its publication; where that is still too many for one task, ``chunk_steps``
     orders the sightings in chunks of so many responses. Every event follows from two consecutive
     sightings of a record and the responses next to them: no timeline of absent steps is
-    built. ``records`` holds one row per (scope, member, sequence). ``record`` gives the
+    built. ``responses`` (scope, sequence, evidence and ``from_response``) lists the responses where the records at hand do not
+    show all of them. ``records`` holds one row per (scope, member, sequence). ``record`` gives the
     field order of the hashed canonical record.
     """
     names = {
@@ -359,7 +423,7 @@ def change_events(
     ordered = record or [*scope, member, *fields]
     text = canonical_json([F.lit(contract).alias("record_contract_version"), *ordered])
     hashed = records.withColumn("_sha", record_hash(text))
-    steps = _responses(hashed, scope, sequence, [*evidence, *from_response])
+    steps = _responses(hashed if responses is None else responses, scope, sequence, [*evidence, *from_response])
     placed = hashed.select(*scope, member, F.col(sequence).alias("_seq"), F.struct(*fields, "_sha").alias("_rec")).join(
         steps, [*scope, "_seq"]
     )
