@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from siltstone.functions.text import as_column, decimal_number, is_finite
+from siltstone.operators.frequent import frequent_values
+from siltstone.operators.order_statistics import values_at_ranks
 
 NUMERIC = (T.NumericType,)
 
@@ -79,29 +81,14 @@ def _aggregates(name: str, numeric: bool, orderable: bool) -> bool:
 def column_stats(df: DataFrame, top: int = 10, small: int = 20) -> DataFrame:
     """Exact per-column statistics and the most frequent values.
 
-    All columns are stacked to (column, value) and counted together: one scan, one shuffle
-    of combined counts. Distinct counts, top values and fills follow from those counts.
-    Top values are given for text and boolean columns and for columns of at most ``small``
-    distinct values; ties go to the smaller value.
+    Counts come from heavy-hitter summaries (``frequent``): columns of few values and clustered keys are settled by one
+    pass without a shuffle of rows; only the values of the others are counted in a shuffle. Top values are given for text
+    and boolean columns and for columns of at most ``small`` distinct values; ties go to the smaller value.
     """
     fields = df.schema.fields
-    pairs = F.array(
-        *[F.struct(F.lit(i).alias("position"), F.col(f"`{f.name}`").cast("string").alias("value")) for i, f in enumerate(fields)]
-    )
-    counts = df.select(F.inline(pairs)).groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
-    basic = counts.groupBy("position").agg(
-        F.sum("n").alias("total_count"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-        F.count("value").alias("unique_count"),
-    )
-    ranked = Window.partitionBy("position").orderBy(F.desc("n"), F.asc("value"))
-    best = (
-        counts.where("value is not null")
-        .withColumn("rank", F.row_number().over(ranked))
-        .where(F.col("rank") <= top)
-        .groupBy("position")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "value", "n"))).alias("_best"))
-    )
+    best, totals, _ = frequent_values(df, df.columns, top, distinct=True)
+    basic = totals.select("position", F.col("rows").alias("total_count"), F.col("nulls").alias("null_count"), F.col("distinct").alias("unique_count"))
+    best = best.groupBy("position").agg(F.array_sort(F.collect_list(F.struct("rank", "value", "n"))).alias("_best"))
     numeric = [f.name for f in fields if isinstance(f.dataType, NUMERIC)]
     named = [
         F.struct(
@@ -170,61 +157,21 @@ def topk_values(df: DataFrame, column: str, k: int = 5) -> DataFrame:
     )
 
 
-def values_at(df: DataFrame, value: Column, ranks: Sequence[int], bins: int = 4096, small: int = 100_000) -> list[float]:
-    """Exact values at 0-based ranks of the sorted non-NULL values, without a total sort.
-
-    Each rank is narrowed by histogram: one pass counts the current range in ``bins``
-    equi-width bins and keeps the observed bounds of the bin that holds the rank. Once a
-    range holds one value, or so few rows that their counts fit the driver, it is resolved.
-    The driver never sees more than ``bins`` or ``small`` rows.
-    """
-    rows = df.select(value.cast("double").alias("v")).where("v is not null")
-    whole = rows.agg(F.min("v"), F.max("v"), F.count("v")).first()
-    answers: dict[int, float] = {}
-    open_ranges = [(float(whole[0]), float(whole[1]), 0, whole[2], sorted(set(ranks)))]
-    while open_ranges:
-        lo, hi, before, size, wanted = open_ranges.pop()
-        if lo == hi:
-            answers.update({r: lo for r in wanted})
-            continue
-        inside = rows.where(F.col("v").between(lo, hi))
-        if size <= small:
-            reached = before
-            for v, n in inside.groupBy("v").agg(F.count(F.lit(1)).alias("n")).orderBy("v").collect():
-                answers.update({r: v for r in wanted if reached <= r < reached + n})
-                reached += n
-            continue
-        # Halving before subtracting keeps the width finite over the whole double range.
-        place = F.floor((F.col("v") / 2 - lo / 2) / F.lit(hi / 2 - lo / 2) * bins).cast("int")
-        counted = (
-            inside.groupBy(F.least(place, F.lit(bins - 1)).alias("b"))
-            .agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"))
-            .orderBy("b")
-            .collect()
-        )
-        reached = before
-        for row in counted:
-            here = [r for r in wanted if reached <= r < reached + row["n"]]
-            if here:
-                open_ranges.append((row["lo"], row["hi"], reached, row["n"], here))
-            reached += row["n"]
-    return [answers[r] for r in ranks]
-
-
 def box_plot(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     """Box-plot statistics (one row) and the outlier rows.
 
     Quartiles are the sorted values at index floor(n * q); fences lie 1.5 interquartile
-    ranges outside, whiskers are the outermost values inside the fences.
+    ranges outside, whiskers are the outermost values inside the fences. Quartiles take two or three passes
+    (``order_statistics``), the rest one more.
     """
     value = _numeric(df, column)
     rows = df.select(value.alias("value")).where("value is not null")
-    n = rows.count()
+    n, quartiles = values_at_ranks(rows, F.col("value"), lambda n: [n // 4, n // 2, n * 3 // 4] if n else [])
     if n == 0:
         empty = T.StructType([T.StructField(c, T.DoubleType()) for c in ("min", "q1", "median", "q3", "max")])
         stats = df.sparkSession.createDataFrame([], empty.add("outlier_count", T.LongType()))
         return stats, rows
-    q1, median, q3 = values_at(rows, F.col("value"), [n // 4, n // 2, (n * 3) // 4])
+    q1, median, q3 = quartiles
     spread = 1.5 * (q3 - q1)
     inside = F.col("value").between(q1 - spread, q3 + spread)
     stats = rows.agg(

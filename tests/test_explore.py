@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import random
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,21 +13,6 @@ def values(spark, data, kind="double"):
     return spark.createDataFrame([(v,) for v in data], f"v {kind}")
 
 
-@pytest.mark.parametrize("bins, small", [(4, 3), (16, 50), (4096, 100_000)])
-@pytest.mark.parametrize("shape", ["uniform", "skewed", "constant", "ties", "huge"])
-def test_values_at_is_exact(spark, bins, small, shape):
-    rng = random.Random(7)
-    data = {
-        "uniform": [rng.random() for _ in range(300)],
-        "skewed": [10 ** rng.uniform(-200, 200) for _ in range(300)],
-        "constant": [3.0] * 50,
-        "ties": [float(rng.randrange(4)) for _ in range(300)],
-        "huge": [rng.choice([-1.7e308, 1.7e308, 0.0, rng.random()]) for _ in range(100)],
-    }[shape]
-    ranks = [0, len(data) // 4, len(data) // 2, len(data) * 3 // 4, len(data) - 1]
-    assert e.values_at(values(spark, data), F.col("v"), ranks, bins=bins, small=small) == [sorted(data)[r] for r in ranks]
-
-
 def test_box_plot(spark):
     stats, outliers = e.box_plot(values(spark, [1.0, 2.0, 3.0, 4.0, 100.0, None, float("nan")]), "v")
     assert tuple(stats.first()) == (1.0, 2.0, 3.0, 4.0, 4.0, 1)
