@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import os
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
+from urllib.parse import urlparse
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from siltstone.functions.text import local_number, period_year, recode, territory_code, unit_code
@@ -35,15 +42,47 @@ def spread_scan(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def files_by_schema(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Parquet files grouped by their schema; tasks read the footers.
+
+    Where a store is one that only Spark reads, the driver asks for each schema.
+    """
+    groups: dict[str, list[str]] = {}
+    if not all(urlparse(p).scheme in ("", "file", "s3", "gs", "hdfs") for p in paths):
+        for path in paths:
+            groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+        return groups
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = []
+            for path in batch.column(0).to_pylist():
+                files, name = fs.FileSystem.from_uri(path)
+                if files.get_file_info(name).type == fs.FileType.Directory:  # any of its files tells, as for Spark
+                    parts = files.get_file_info(fs.FileSelector(name, recursive=True))
+                    name = min(p.path for p in parts if p.type == fs.FileType.File and p.base_name[0] not in "_.")
+                with files.open_input_file(name) as f:
+                    schema = pq.read_schema(f)
+                # what Spark recorded, where Spark wrote the file
+                told.append((schema.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata") or schema.remove_metadata().serialize().to_pybytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(told, pa.binary())], ["path", "schema"])
+
+    uris = spark.createDataFrame([(p if urlparse(p).scheme else f"file://{os.path.abspath(p)}", p) for p in paths], "uri string, path string")
+    tasks = max(1, min(len(paths) // 16, spark.sparkContext.defaultParallelism * 4))
+    told = uris.select("uri").repartition(tasks, "uri").mapInArrow(footers, "uri string, schema binary")
+    grouped = told.join(uris, "uri").groupBy(F.sha2("schema", 256).alias("schema")).agg(F.collect_list("path").alias("paths")).collect()
+    place = {p: i for i, p in enumerate(paths)}  # the list of files is the driver's already
+    listed = [(sorted(r["paths"], key=place.__getitem__), r["schema"]) for r in grouped]
+    return {schema: members for members, schema in sorted(listed, key=lambda g: place[g[0][0]])}
+
+
 def scan_drifted_nested(spark: SparkSession, paths: Sequence[str], nested: Sequence[str], file_column: str | None = None) -> DataFrame:
     """Files whose nested columns differ in type, united after turning those columns to JSON text.
 
-    Files that share a schema are scanned together, so the plan grows with the number of
-    schemas and not with the number of files.
+    Files that share a schema are scanned together, so the plan and the driver's calls grow with the number of schemas and
+    not with the number of files.
     """
-    groups: dict[str, list[str]] = {}
-    for path in paths:
-        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    groups = files_by_schema(spark, paths)
     branches = []
     for members in groups.values():
         df = spark.read.parquet(*members)
@@ -234,34 +273,71 @@ def read_jsonl_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-def read_sectioned_lines(spark: SparkSession, path: str) -> DataFrame:
+def attach_last(lines: DataFrame, marker: str, attached: str) -> DataFrame:
+    """Every line with the last non-NULL ``marker`` at or before it in its file (columns source_file, split, id).
+
+    Two levels: a pass over the lines gives one row a split, its last marker, and these are carried from split to split; then each
+    scan task carries markers from line to line as it reads, without a shuffle, and takes the split's carry where it has
+    met none. No line holds more than one marker, however many the file has.
+    """
+    known = F.when(F.col(marker).isNotNull(), F.col("id"))
+    before = Window.partitionBy("source_file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (
+        lines.groupBy("source_file", "split")
+        .agg(F.max_by(marker, known).alias("_last"))
+        .select("source_file", "split", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+    )
+    names = lines.columns
+    place = {n: names.index(n) for n in (marker, "source_file", "split")}
+
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, split, held = None, None, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            files, blocks, marks = (batch.column(place[n]) for n in ("source_file", "split", marker))
+            changes = np.ones(len(batch), bool)
+            changes[1:] = pc.or_(pc.not_equal(files[1:], files[:-1]), pc.not_equal(blocks[1:], blocks[:-1])).to_numpy(zero_copy_only=False)
+            changes[0] = (files[0].as_py(), blocks[0].as_py()) != (file, split)
+            at = np.arange(len(batch))
+            begun = np.maximum.accumulate(np.where(changes, at, -1))
+            seen = np.maximum.accumulate(np.where(marks.is_valid().to_numpy(zero_copy_only=False), at, -1))
+            own = marks.take(pa.array(seen, mask=(seen < 0) | (seen < begun)))
+            first = int(changes.argmax()) if changes.any() else len(batch)  # lines before it go on from the last batch
+            if first and held is not None:
+                own = pa.concat_arrays([pc.fill_null(own[:first], held), own[first:]])
+            file, split, held = files[-1].as_py(), blocks[-1].as_py(), own[-1].as_py()
+            yield pa.RecordBatch.from_arrays([*batch.columns, own], [*names, attached])
+
+    schema = T.StructType([*lines.schema.fields, T.StructField(attached, lines.schema[marker].dataType)])
+    local = lines.mapInArrow(carry, schema)
+    carried = local.join(_per_split(splits, lines), ["source_file", "split"], "left")
+    return carried.withColumn(attached, F.coalesce(attached, "_carry")).select(*names, attached)
+
+
+#: Stands for the end of a section among the markers; no name holds it.
+_CLOSED = "\0"
+
+
+def read_sectioned_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Lines of a pretty-printed JSON file with the array section each one belongs to.
 
-    Such files hold hundreds of millions of short lines in one document. Lines are scanned
-    as splittable text; the few section markers are folded to one small array per file, and
-    every line takes the last marker before it.
+    Such files hold hundreds of millions of short lines in one document. Lines are scanned as splittable text, and every line
+    takes the last section marker before it (``attach_last``).
     """
+    opens = F.nullif(F.regexp_extract("value", r'^\s*"([^"]+)"\s*:\s*\[', 1), F.lit(""))
+    header = F.when(F.col("value").rlike(r'^\s*"[^"]+"\s*:\s*\{'), F.regexp_extract("value", r'^\s*"([^"]+)"', 1))
+    closes = F.col("value").rlike(r"^\s*[\]}]")
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("source_file"),
-        F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("at"),
-    )
-    opens = F.regexp_extract("value", r'^\s*"([^"]+)"\s*:\s*\[', 1)
-    header = F.when(F.col("value").rlike(r'^\s*"[^"]+"\s*:\s*\{'), F.regexp_extract("value", r'^\s*"([^"]+)"', 1))
-    section = F.coalesce(F.nullif(opens, F.lit("")), header)
-    closes = F.col("value").rlike(r"^\s*[\]}]")
-    marks = (
-        lines.select("source_file", "at", section.alias("section"), closes.alias("closes"))
-        .where(F.col("section").isNotNull() | F.col("closes"))
-        .groupBy("source_file")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "section"))).alias("marks"))
-    )
-    before = F.filter("marks", lambda m: m["at"] <= F.col("at"))
-    return (
-        lines.where(section.isNull() & ~closes)
-        .join(_per_split(marks, lines), "source_file")
-        .select("source_file", "value", "at", F.try_element_at(before, F.lit(-1))["section"].alias("section"))
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("id"),
+        F.coalesce(opens, header, F.when(closes, F.lit(_CLOSED))).alias("_mark"),
     )
+    attached = attach_last(lines, "_mark", "section").where("_mark is null")
+    at = F.struct(F.col("split").alias("b"), F.col("id").alias("i")).alias("at")
+    return attached.select("source_file", "value", at, F.nullif("section", F.lit(_CLOSED)).alias("section"))
 
 
 def content_inventory(spark: SparkSession, path: str) -> DataFrame:

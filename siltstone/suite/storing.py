@@ -51,6 +51,25 @@ def _scan_with_file(spark, folder):
     )
 
 
+@query(
+    "scan_parquet_united",
+    """
+    select 'a' as source, o_orderkey as key, o_custkey as customer, cast(null as double) as price, null as status from orders where o_orderstatus = 'F'
+    union all select 'b', o_orderkey, null, o_totalprice, o_orderstatus from orders where o_orderstatus <> 'F'
+    union all select 'b', l_orderkey, null, null, l_returnflag from lineitem where l_linenumber = 1
+    """,
+)
+def _scan_united(spark, folder):
+    """Files of one folder with different columns, united by name."""
+    path = scratch_path(spark, "united")
+    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+    orders.where("o_orderstatus = 'F'").selectExpr("o_orderkey as key", "o_custkey as customer").write.parquet(f"{path}/source=a/part=1")
+    orders.where("o_orderstatus <> 'F'").selectExpr("o_orderkey as key", "o_totalprice as price", "o_orderstatus as status").write.parquet(f"{path}/source=b/part=1")
+    lines.where("l_linenumber = 1").selectExpr("l_returnflag as status", "l_orderkey as key").write.parquet(f"{path}/source=b/part=2")
+    df = scan_parquet(spark, path, file_column="path")
+    return df.select(F.regexp_extract("path", "source=([a-z])", 1).alias("source"), "key", "customer", "price", "status")
+
+
 @query(
     "scan_drifted_nested",
     """

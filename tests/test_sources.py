@@ -5,6 +5,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from siltstone.plans import fx
@@ -197,3 +198,12 @@ def test_new_files_land_once(spark, tmp_path):
     run()
     run()
     assert rows(spark.read.parquet(target), "ingestion_sequence", "mid") == [(1, 4.0), (2, 4.1)]
+
+
+def test_short_rows_with_wrong_cells_do_not_fit(spark, tmp_path):
+    (tmp_path / "w.csv").write_text('a,b,c\n1,2\nx,5\n,7\n3,"y"\n4\n"",8\n')
+    schema = T.StructType([T.StructField(n, T.IntegerType()) for n in "abc"])
+    kept = catalog.import_file(spark, str(tmp_path / "w.csv"), "csv", "wrong_cells", schema=schema, ignore_errors=True)
+    assert rows(kept) == [(1, 2, None), (4, None, None), (None, 7, None), (None, 8, None)]
+    with pytest.raises(Exception, match="row does not fit"):
+        catalog.import_file(spark, str(tmp_path / "w.csv"), "csv", "wrong_cells", schema=schema).collect()
