@@ -61,43 +61,60 @@ def taxonomy_paths(
 ) -> DataFrame:
     """Every node with its path from the root, its area and its domain.
 
-    The area is the nearest node of kind ``area`` on the path; the domain is the first
-    ``group`` below it. The tree is walked level by level: each level is one equi join of
-    the nodes with the level above, is checkpointed, and the walk ends at the first empty
-    level, however deep the tree is.
+    The area is the nearest node of kind ``area`` on the path; the domain is the first ``group`` below the first area. Paths
+    grow by pointer doubling: every node holds what lies between it and a node further up, and in a round joins that
+    with what the upper node holds. So a tree of depth d takes log2(d) rounds, each one equi join whose result is checkpointed. A
+    node whose parent is not there, or that hangs on a cycle, is an error, and so is an id that is there twice.
     """
     base = nodes.select(
         F.col(id).alias("node_id"), F.col(parent).alias("parent_id"), F.col(name).alias("node_name"), F.col(kind).alias("node_kind")
     )
-
-    def placed(above_area: Column, above_domain: Column) -> list[Column]:
-        inside = F.col("node_kind") == area
-        here_area = F.when(inside, F.col("node_name")).otherwise(above_area)
-        opens = (~inside) & (here_area != "") & (above_domain == "") & (F.col("node_kind") == group)
-        return [here_area.alias("thematic_area"), F.when(opens, F.col("node_name")).otherwise(above_domain).alias("domain")]
-
-    blank = F.lit("")
-    level = base.where(F.col("parent_id").isNull()).select(
-        "*", *placed(blank, blank), F.col("node_name").alias("taxonomy_path"), F.lit(1).alias("tree_level")
-    )
     scratch_root(nodes.sparkSession)
-    level = level.checkpoint()
-    out, number = level, 1
-    while True:
-        number += 1
-        above = level.select(
-            F.col("node_id").alias("_up"), F.col("thematic_area").alias("_area"), F.col("domain").alias("_domain"), F.col("taxonomy_path").alias("_path")
-        )
-        level = base.join(above, F.col("parent_id") == F.col("_up")).select(
+    inside = F.col("node_kind") == area
+    opens = ~inside & (F.col("node_kind") == group) & (F.coalesce("node_name", F.lit("")) != "")
+    held = base.select(
+        "*",
+        F.col("parent_id").alias("_up"),
+        F.col("node_name").alias("_path"),
+        F.lit(1).alias("_levels"),
+        F.when(inside, F.coalesce("node_name", F.lit(""))).alias("_area"),
+        F.when(opens, F.col("node_name")).alias("_lead"),
+        F.lit(None).cast("string").alias("_domain"),
+    ).checkpoint()
+    wrong = held.groupBy("node_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node_id").limit(1).collect()
+    if wrong:
+        raise ValueError(f"node {wrong[0][0]!r} is there more than once")
+    known = held.select(F.col("node_id").alias("_up"))
+    orphan = held.where("_up is not null").join(known, "_up", "left_anti").select("node_id").limit(1).collect()
+    if orphan:
+        raise ValueError(f"the parent of node {orphan[0][0]!r} is missing")
+    open_ = held.where("_up is not null").count()
+    while open_:
+        upper = held.select(F.col("node_id").alias("_up"), *[F.col(c).alias(f"u{c}") for c in ("_up", "_path", "_levels", "_area", "_lead", "_domain")])
+        joined = held.join(upper.withColumnRenamed("u_up", "_next"), "_up", "left")
+        met = F.col("u_levels").isNotNull()
+        # a group directly below the upper part's area opens the domain, if none is open yet
+        below = F.when(F.coalesce(F.col("u_area"), F.lit("")) != "", F.col("_lead"))
+        held = joined.select(
             *base.columns,
-            *placed(F.col("_area"), F.col("_domain")),
-            F.concat_ws(sep, "_path", "node_name").alias("taxonomy_path"),
-            F.lit(number).alias("tree_level"),
-        )
-        level = level.checkpoint()
-        if level.isEmpty():
-            return out
-        out = out.unionByName(level)
+            F.col("_next").alias("_up"),
+            F.when(met, F.concat_ws(sep, "u_path", "_path")).otherwise(F.col("_path")).alias("_path"),
+            (F.col("_levels") + F.coalesce("u_levels", F.lit(0))).alias("_levels"),
+            F.coalesce("_area", "u_area").alias("_area"),
+            F.when(met & (F.col("u_lead").isNotNull() | F.col("u_area").isNotNull()), F.col("u_lead")).otherwise(F.col("_lead")).alias("_lead"),
+            F.coalesce("u_domain", below, "_domain").alias("_domain"),
+        ).checkpoint()
+        left = held.where("_up is not null").count()
+        if left == open_:  # some nodes reach the root in every round, as long as any can
+            raise ValueError(f"{left} nodes hang on a cycle")
+        open_ = left
+    return held.select(
+        *base.columns,
+        F.coalesce("_area", F.lit("")).alias("thematic_area"),
+        F.coalesce("_domain", F.lit("")).alias("domain"),
+        F.col("_path").alias("taxonomy_path"),
+        F.col("_levels").alias("tree_level"),
+    )
 
 
 def area_rows_check(df: DataFrame, code: str, name: str, measures: Sequence[str]) -> DataFrame:

@@ -168,14 +168,27 @@ def _well_placed(index: Column) -> Column:
     return F.when(_is_list(index), F.size(F.array_distinct(codes)) == F.size(codes)).otherwise(places == wanted)
 
 
-def _entries(text: Column) -> Column:
-    """Sorted (position, value) pairs of a sparse position map; NULL for the list form."""
+def _as_json(shown: Column, typed: Column) -> Column:
+    """A member's JSON text: numbers as they were written, texts in their quotes."""
+    return F.when(F.schema_of_variant(typed) == "STRING", F.to_json(typed)).otherwise(shown)
+
+
+def _entries(text: Column, typed: bool = False) -> Column:
+    """Sorted (position, value) pairs of a sparse position map; NULL for the list form. ``typed`` keeps values as JSON text."""
     pairs = F.map_entries(F.from_json(text, "map<string,string>"))
+    if typed:
+        kinds = F.map_values(F.from_json(text, "map<string,variant>"))
+        pairs = F.zip_with(pairs, kinds, lambda e, k: F.struct(e["key"].alias("key"), _as_json(e["value"], k).alias("value")))
     placed = F.transform(pairs, lambda e: F.struct(e["key"].cast("long").alias("p"), e["value"].alias("v")))
     return F.when(~_is_list(text), F.array_sort(placed))
 
 
-def _dense(text: Column, given: Column, total: Column) -> Column:
+def _listed(text: Column, typed: bool) -> Column:
+    shown = F.from_json(text, "array<string>")
+    return F.zip_with(shown, F.from_json(text, "array<variant>"), _as_json) if typed else shown
+
+
+def _dense(text: Column, given: Column, total: Column, typed: bool = False) -> Column:
     """Array with one entry per cube position, from a full list or from sorted sparse pairs.
 
     The sparse form is filled from gap to gap, which is linear in the cube; looking every
@@ -190,14 +203,14 @@ def _dense(text: Column, given: Column, total: Column) -> Column:
         ),
     )
     sparse = F.concat(blanks(F.coalesce(F.try_element_at(given, F.lit(1))["p"], total)), F.flatten(stretches))
-    return F.when(text.isNull(), blanks(total)).when(given.isNull(), F.from_json(text, "array<string>")).otherwise(sparse)
+    return F.when(text.isNull(), blanks(total)).when(given.isNull(), _listed(text, typed)).otherwise(sparse)
 
 
 def decode_cube(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row per cube cell in row-major order, missing cells included.
 
     Adds the cell's position, its complete dimension key as sorted JSON with its hash, the
-    value as text and as a number, its status, and whether it is missing. A body that is no
+    value as JSON text and, where it is a JSON number, as a number, its status, and whether it is missing. A body that is no
     consistent cube fails the query: an absent value member, dimensions that are repeated, unlisted
     or without a size of their own, codes without one place each, or lists of the wrong length.
 
@@ -225,7 +238,7 @@ def decode_cube(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame
         "c",
         total.alias("total"),
         F.array_sort(dims).alias("dims"),
-        _entries(F.col("c.value")).alias("given"),
+        _entries(F.col("c.value"), typed=True).alias("given"),
         _entries(F.col("c.status")).alias("marks"),
     )
     filled = laid.select(
@@ -233,7 +246,7 @@ def decode_cube(df: DataFrame, body: str, keep: Sequence[str] = ()) -> DataFrame
         "c",
         "total",
         "dims",
-        _dense(F.col("c.value"), F.col("given"), F.col("total")).alias("values"),
+        _dense(F.col("c.value"), F.col("given"), F.col("total"), typed=True).alias("values"),
         _dense(F.col("c.status"), F.col("marks"), F.col("total")).alias("statuses"),
         # to_json of a one-entry map is {"name":"code"}; without its braces it is the piece of the key.
         F.transform(
@@ -312,7 +325,7 @@ def decode_wide_tsv(
     ``header`` holds each line's own header (``dim,dim\\TIME_PERIOD<TAB>period...``), so
     files with different dimensions and periods decode together. A cell is a value with an
     optional flag behind a blank; ``:`` and blank cells are missing. Lines that do not fit
-    their header and values that are no number fail the query.
+    their header, headers with a period twice, and values that are no number fail the query.
     """
     head = F.split(F.regexp_replace(F.col(header), "\r$", ""), "\t")
     names = F.transform(F.split(F.split(head[0], r"\\")[0], ","), lambda n: F.lower(F.trim(n)))
@@ -332,6 +345,7 @@ def decode_wide_tsv(
         (F.col("axis") == "TIME_PERIOD")
         & (F.size("names") == F.size("codes"))
         & (F.size("periods") > 0)
+        & (F.size(F.array_distinct("periods")) == F.size("periods"))
         & (F.size("periods") == F.size("cells"))
         & F.forall("codes", lambda c: c != "")
     )

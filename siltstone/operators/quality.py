@@ -152,10 +152,11 @@ def value_reconciliation(
     """
     wanted = requested.select(*keys).distinct()
     index = bulk.join(wanted, list(keys), "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(bulk_value).alias("_bulk"))
-    joined = requested.join(index, list(keys), "left")
-    mine, theirs = F.trim(F.col(value)), F.trim(F.col("_bulk"))
+    joined = requested.join(index, list(keys), "left").select("*", F.trim(F.col(value)).alias("_mine"), F.trim("_bulk").alias("_theirs"))
+    mine, theirs = F.col("_mine"), F.col("_theirs")
     odd = "(?i)^[+-]?(nan|inf|infinity)$"
     key_text = F.col(required) if required else F.lit("x")
+    # The names of the outcomes.
     outcome = (
         F.when(F.coalesce(key_text, F.lit("")) == "", F.lit(f"missing_{required}"))
         .when(
@@ -167,6 +168,7 @@ def value_reconciliation(
         .when(F.col("_bulk").isNull(), F.lit("bulk_value_null"))
         .when(~(_parses(mine, odd) & _parses(theirs, odd)), F.lit("bulk_value_not_numeric"))
         .when(mine.rlike(odd) | theirs.rlike(odd), F.lit("nonfinite_value"))
+        .when(mine == theirs, F.lit("exact_numeric_match"))  # spelled alike, as most are
         .when(exact_number(mine) == exact_number(theirs), F.lit("exact_numeric_match"))
         .otherwise(F.lit("value_conflict"))
     )
@@ -179,12 +181,16 @@ def _parses(text: Column, odd: str) -> Column:
 
 def exact_number(text: Column) -> Column:
     """Spelling that two number texts share exactly if they are equal: sign, digits without outer zeros, exponent."""
-    parts = r"^([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?$"
-    sign, whole, fraction, exponent = (F.regexp_extract(text, parts, i) for i in range(1, 5))
-    digits = F.ltrim(F.concat(whole, fraction), F.lit("0"))
+    mark = F.locate("e", F.lower(text))
+    mantissa = F.when(mark > 0, F.substring(text, F.lit(1), mark - 1)).otherwise(text)
+    exponent = F.when(mark > 0, F.substr(text, mark + 1))
+    unsigned = F.ltrim(mantissa, F.lit("+-"))
+    dot = F.locate(".", unsigned)
+    fraction = F.when(dot > 0, F.length(unsigned) - dot).otherwise(F.lit(0))
+    digits = F.ltrim(F.translate(unsigned, ".", ""), F.lit("0"))
     kept = F.rtrim(digits, F.lit("0"))
-    power = F.coalesce(F.nullif(exponent, F.lit("")).try_cast("decimal(30,0)"), F.lit(0)) - F.length(fraction) + F.length(digits) - F.length(kept)
-    spelled = F.concat(F.when(sign == "-", "-").otherwise(""), kept, F.lit("e"), power.cast("string"))
+    power = F.coalesce(exponent.try_cast("decimal(30,0)"), F.lit(0)) - fraction + F.length(digits) - F.length(kept)
+    spelled = F.concat(F.when(F.startswith(text, F.lit("-")), "-").otherwise(""), kept, F.lit("e"), power.cast("string"))
     return F.when(text.rlike(DECIMAL_PATTERN), F.when(kept == "", "0").otherwise(spelled))
 
 

@@ -104,7 +104,12 @@ def _read_csv(
     # Spark keeps the text of every row that does not match; only a short one may stay
     unquoted = F.regexp_replace(bad, r'"(?:[^"]|"")*"', "")
     short = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(delimiter), F.lit(""))) < len(delimiter) * (len(names) - 1)
-    fits = F.col(bad).isNull() | short if null_padding else F.col(bad).isNull()
+    # of a short row the cells that are there must have been read
+    texts = F.from_csv(bad, ", ".join(f"c{i} string" for i in range(len(names))), {k: str(v) for k, v in options.items() if k != "header"})
+    read_whole = F.lit(True)
+    for i, n in enumerate(names):
+        read_whole = read_whole & (F.col(f"`{n}`").isNotNull() | (F.coalesce(texts[f"c{i}"], F.lit("")) == ""))
+    fits = F.col(bad).isNull() | (short & read_whole) if null_padding else F.col(bad).isNull()
     # always true, but it reads the cells: Spark refuses a plan that needs nothing but the text of unfit rows
     read = F.length(F.concat_ws("", *[F.col(f"`{n}`").cast("string") for n in names])) >= 0
     wrong = F.raise_error(F.concat(F.lit("row does not fit: "), bad)).cast("boolean")

@@ -93,8 +93,8 @@ def quote_report(spark: SparkSession, folder: str) -> DataFrame:
         source=["source_id", "batch_id"],
         identity=["effective_date", "code"],
         sequence="ingestion_sequence",
-        measures=[],
-        labels=["mid", "source_table"],
+        measures=["mid"],
+        labels=["source_table"],
         evidence=["no"],
         newest=["batch_id", "mid"],
     )

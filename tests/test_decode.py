@@ -275,3 +275,73 @@ def test_pivot_series_orders_columns_and_keeps_the_last(spark):
     assert rows(got) == [("feb", None, 25, 5), ("jan", 11, 20, None)]
     with pytest.raises(ValueError, match="more than 1 series"):
         reshape.series_in_order(df, "s", ["n"], at_most=1)
+
+
+def walked(nodes):
+    """Brute force over (id, parent, name, kind)."""
+    by = {n[0]: n for n in nodes}
+    out = []
+    for i, *_ in nodes:
+        line = []
+        while i is not None:
+            line.append(by[i])
+            i = by[i][1]
+        line.reverse()
+        area, domain = "", ""
+        for _, _, name, kind in line:
+            if kind == "AREA":
+                area = name
+            elif kind == "GROUP" and area != "" and domain == "":
+                domain = name
+        out.append((line[-1][0], area, domain, " > ".join(n[2] for n in line), len(line)))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_taxonomy_of_random_trees(spark, seed):
+    rng = random.Random(seed)
+    nodes = [("0", None, "root", rng.choice(["AREA", "GROUP", "INDICATOR"]))]
+    for i in range(1, 300):
+        up = None if rng.random() < 0.03 else str(rng.randrange(max(0, i - 5), i))
+        nodes.append((str(i), up, f"n{i}", rng.choice(["AREA", "GROUP", "GROUP", "INDICATOR"])))
+    got = codes.taxonomy_paths(spark.createDataFrame(nodes, TREE), id="id", parent="parent", name="name", kind="type")
+    assert rows(got, "node_id", "thematic_area", "domain", "taxonomy_path", "tree_level") == sorted(walked(nodes))
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    made = []
+    inner = type(spark.range(1)).checkpoint
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda self, *a: (made.append(1), inner(self, *a))[1])
+    n = 10_000
+    chain = spark.range(n).selectExpr("cast(id as string) as id", "case when id > 0 then cast(id - 1 as string) end as parent", "'' as name", "case when id = 0 then 'AREA' else 'GROUP' end as type")
+    got = codes.taxonomy_paths(chain, id="id", parent="parent", name="name", kind="type", sep="")
+    assert got.agg(F.max("tree_level"), F.sum("tree_level")).first()[:] == (n, n * (n + 1) // 2)
+    assert len(made) <= 15
+
+
+@pytest.mark.parametrize(
+    "extra, message", [([("8", "9", "x", "GROUP"), ("9", "8", "y", "GROUP"), ("10", "9", "z", "GROUP")], "cycle"), ([("8", "99", "x", "GROUP")], "missing"), ([("7", "1", "x", "GROUP")], "more than once")]
+)
+def test_a_broken_taxonomy_is_an_error(spark, extra, message):
+    nodes = tree(spark).unionByName(spark.createDataFrame(extra, TREE))
+    with pytest.raises(ValueError, match=message):
+        codes.taxonomy_paths(nodes, id="id", parent="parent", name="name", kind="type")
+
+
+def test_cube_values_keep_their_json_type(spark):
+    for values in (["5", 5, 1e3, None, "n/a", 1.10], {"0": "5", "1": 5, "2": 1e3, "4": "n/a", "5": 1.10}):
+        doc = {
+            "version": "2.0", "class": "dataset", "label": "l", "updated": "u", "id": ["a"], "size": [6],
+            "dimension": {"a": {"category": {"index": ["p", "q", "r", "s", "t", "u"]}}}, "value": values, "status": {"1": "e"},
+        }
+        cells = decode.decode_cube(bodies(spark, json.dumps(doc)), "body").orderBy("position").collect()
+        assert [c["value_numeric"] for c in cells] == [None, 5.0, 1000.0, None, None, 1.1]
+        assert [json.loads(c["value_json"]) for c in cells] == ["5", 5, 1000.0, None, "n/a", 1.1]
+        assert [c["is_missing"] for c in cells] == [False, False, False, True, False, False]
+        assert [c["status_code"] for c in cells] == [None, "e", None, None, None, None]
+
+
+def test_a_period_twice_in_a_header_is_refused(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text("freq\\TIME_PERIOD\t2001\t2001 \nA\t1\t2\n")
+    with pytest.raises(Exception, match="does not fit its header"):
+        read_wide_tsv(spark, str(tmp_path / "t.tsv")).collect()
