@@ -53,7 +53,7 @@ def strong_parts(raw: bytes, hex_runs: list[tuple[int, int]]) -> list[Span]:
 
 
 def weak_parts(raw: bytes, strong: list[Span], reach: int) -> list[Span]:
-    """Weak parts outside the strong ones that have a complementary part within ``reach``."""
+    """Weak parts outside the strong ones that have a complementary part within ``reach`` code points; positions are bytes."""
     lower = raw.lower()
     found: list[Span] = []
     if b"user" in lower or b"login" in lower or b"id" in lower:
@@ -70,7 +70,8 @@ def weak_parts(raw: bytes, strong: list[Span], reach: int) -> list[Span]:
         i = int(np.searchsorted(begins, s[2])) if len(begins) else 0  # strong parts that begin before its end
         if i == 0 or ends[i - 1] <= s[1]:
             free.append(s)
-    places = {kind: np.sort([[a, b] for k, a, b in strong + free if k == kind], axis=0).reshape(-1, 2) for kind in KINDS}
+    shown = _in_code_points(raw, strong + free)  # the reach is counted in these
+    places = {kind: np.sort([[a, b] for k, a, b in shown if k == kind], axis=0).reshape(-1, 2) for kind in KINDS}
 
     def linked(span: Span) -> bool:
         kind, a, b = span
@@ -81,7 +82,7 @@ def weak_parts(raw: bytes, strong: list[Span], reach: int) -> list[Span]:
                 return True
         return False
 
-    return [s for s in free if linked(s)]
+    return [s for s, t in zip(free, shown[len(strong) :], strict=True) if linked(t)]
 
 
 def _in_code_points(raw: bytes, spans: list[Span]) -> list[Span]:

@@ -97,8 +97,11 @@ def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[list
         left = histogram[length]
         while left > 0:
             room = max(packs, default=0)
-            if room < length:
-                packs.setdefault(size - length, []).append(([(length, 1)], left))
+            if room < length:  # new packs, each filled as far as its pieces fit
+                each = size // length
+                for times, count in ((each, left // each), (left % each, 1)):
+                    if times and count:
+                        packs.setdefault(size - times * length, []).append(([(length, times)], count))
                 break
             pattern, count = packs[room].pop()
             taken = min(left, count)

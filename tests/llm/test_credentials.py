@@ -62,3 +62,10 @@ def test_redaction(spark, frame):
     got = {r.doc_id: r.t for r in docs.select("doc_id", redacted(docs.text).alias("t")).collect()}
     assert got == {1: "é [secret] end", 2: None, 3: "clean", 4: '[secret]"'}
     assert secret_spans(frame([])).collect() == []
+
+
+def test_the_reach_is_counted_in_code_points(spark, frame):
+    for filler in ("a ", "é ", "字 ", "\U0001f600 "):
+        near, far = filler * 145, filler * 155
+        assert kinds(spark, frame, f"user: joseph1 {near}password = hunter22x") == ["user", "assign"]
+        assert kinds(spark, frame, f"user: joseph1 {far}password = hunter22x") == ["assign"]

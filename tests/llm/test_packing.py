@@ -71,6 +71,22 @@ def test_patterns_hold_every_piece_once(histogram):
         assert [a for a, _ in sorted(parts)] == [0, *[b for _, b in sorted(parts)][:-1]] and max(b for _, b in parts) == histogram[length]
 
 
+@pytest.mark.parametrize(
+    "histogram, most", [({300: 1000}, 334), ({10: 1000}, 10), ({n: 100 for n in range(1, 101)}, 494), ({1: 5}, 1), ({1024: 3, 1: 1024}, 4), ({600: 10, 400: 10}, 10)]
+)
+def test_short_pieces_share_packs(histogram, most):
+    assert sum(c for _, c in shortest_pack_first(histogram, 1024)) <= most
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 20), st.integers(1, 3000), min_size=1, max_size=4))
+def test_few_short_lengths_leave_little_padding(histogram):
+    used = sum(c for _, c in shortest_pack_first(histogram, 256))
+    total = sum(n * k for n, k in histogram.items())
+    # a pack is left only where no piece of the last length fits
+    assert used <= total / (256 - max(histogram) + 1) + 1
+
+
 def test_both_roads_give_the_same_ids():
     encode = Encoder(FILE)
     points = [i for i in range(0, 0x30000, 7) if not 0xD800 <= i < 0xE000]
