@@ -13,7 +13,12 @@ from urllib.parse import unquote, urlparse
 import numpy as np
 from pyspark.sql import SparkSession
 
-from siltstone.sources.scratch import scratch_path
+from siltstone.sources.scratch import scratch_path, scratch_root
+
+
+def is_mounted(spark: SparkSession) -> bool:
+    """Whether the shared folder is one that workers can map files of."""
+    return urlparse(scratch_root(spark)).scheme in ("", "file")
 
 
 def array_folder(spark: SparkSession, label: str) -> str:

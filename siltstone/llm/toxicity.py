@@ -11,6 +11,7 @@ fitted on places a threshold for each language, with the weight that both kinds
 from __future__ import annotations
 
 import io
+import os
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.arrays import array_folder, is_mounted, read_array, write_array
 from siltstone.llm.shared import stored
 from siltstone.llm.text import PLAIN_BYTES, byte_blocks, fold, held_out, mix, word_hashes, word_spans
 
@@ -43,9 +45,26 @@ class Settings:
 
 @dataclass
 class Model:
+    """The classifier; ``folder`` names where its arrays lie if they are in the shared folder, for workers to map."""
+
     settings: Settings
     arrays: dict[str, np.ndarray]
     thresholds: dict[str, float] = field(default_factory=dict)
+    folder: str | None = None
+
+    def rounded(self) -> dict[str, np.ndarray]:
+        """The arrays as they are kept: embeddings to half precision."""
+        return {k: v.astype(np.float16).astype(np.float32) if k == "words" else v for k, v in self.arrays.items()}
+
+    def save(self, folder: str) -> None:
+        os.makedirs(folder, exist_ok=True)
+        for name, values in self.rounded().items():
+            write_array(folder, name, values)
+
+    @staticmethod
+    def mapped(folder: str, settings: Settings, thresholds: dict[str, float] | None = None) -> Model:
+        names = sorted(n[: -len(".npy")] for n in os.listdir(folder) if n.endswith(".npy"))
+        return Model(settings, {n: read_array(folder, n) for n in names}, thresholds or {}, folder)
 
     def pack(self) -> bytes:
         out = io.BytesIO()
@@ -188,14 +207,20 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
 
 #: Bins of scores, for each unit of log odds.
 BINS = 64
-#: Rows of each kind that a language needs for a threshold of its own.
+#: A language's own threshold counts as so many rows more than it has of its rarer kind would; the rest is the general one.
 LEAST = 10
 
 
+def _odds(share: float) -> float:
+    share = min(max(share, 1e-12), 1 - 1e-12)
+    return float(np.log(share / (1 - share)))
+
+
 def thresholds(scored: DataFrame) -> dict[str, float]:
     """Threshold by language, and for "" that of all, from rows (lang, label, score, fitted).
 
-    Rows that the model was fitted on count for the totals only: the others of a language and label stand for them.
+    Rows that the model was fitted on count for the totals only: the others of a language and label stand for them. A
+    language's threshold lies between its own and the general one, the nearer to its own the more rows it has.
     """
     odds = F.greatest(F.lit(1e-12), F.least(F.lit(1 - 1e-7), F.col("score")))
     own = F.coalesce("lang", F.lit(""))
@@ -213,8 +238,8 @@ def thresholds(scored: DataFrame) -> dict[str, float]:
         label, bin_, total, n = (rows[c].to_numpy().astype(np.int64) for c in ("label", "bin", "total", "n"))
         name = key[0].as_py()
         counts = [n[label == y].sum() for y in (0, 1)]
-        if min(counts) < (LEAST if name else 1):
-            return pa.table({"name": pa.array([], pa.string()), "cut": pa.array([], pa.float64())})
+        if not min(counts):
+            return pa.table({"name": pa.array([], pa.string()), "cut": pa.array([], pa.float64()), "n": pa.array([], pa.int64())})
         weight = n * np.array([total[label == y].sum() / counts[y] for y in (0, 1)])[label]
         used = n > 0
         _, at = np.unique(bin_[used], return_inverse=True)
@@ -222,10 +247,12 @@ def thresholds(scored: DataFrame) -> dict[str, float]:
         np.minimum.at(low, at, rows["low"].to_numpy()[used])
         np.maximum.at(high, at, rows["high"].to_numpy()[used])
         found = best_cut(low, high, np.bincount(at, (weight * label)[used]), np.bincount(at, weight[used]))
-        return pa.table({"name": pa.array([name], pa.string()), "cut": pa.array([found], pa.float64())})
+        return pa.table({"name": pa.array([name], pa.string()), "cut": pa.array([found], pa.float64()), "n": pa.array([int(min(counts))], pa.int64())})
 
-    found = bins.groupBy("group").applyInArrow(cut, "name string, cut double").collect()  # one row a language
-    return {r["name"]: r["cut"] for r in found}
+    found = {r["name"]: r for r in bins.groupBy("group").applyInArrow(cut, "name string, cut double, n long").collect()}  # one row a language
+    general = _odds(found[""]["cut"]) if "" in found else 0.0
+    shrunk = {name: (r["n"] * _odds(r["cut"]) + LEAST * general) / (r["n"] + LEAST) for name, r in found.items()}
+    return {name: float(1 / (1 + np.exp(-x))) if name else found[name]["cut"] for name, x in shrunk.items()}
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
@@ -252,31 +279,45 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), d
     # at most positives + negatives ids, so they may be sent to every task
     rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), F.max("coin").alias("coin"), F.min("text").alias("text"))
 
+    spark = docs.sparkSession
+    folder = array_folder(spark, "classifier") if is_mounted(spark) else None
+
+    def kept(model: Model, name: str) -> bytes:
+        """Where the model was saved, or the model itself where workers cannot map files."""
+        if folder is None:
+            return model.pack()
+        model.save(f"{folder}/{name}")
+        return f"{folder}/{name}".encode()
+
     def learn(batches):
         found = [r for b in batches for r in b.to_pylist()]
         found.sort(key=lambda r: r["doc_id"])
         y = np.array([r["label"] for r in found], np.float64)
         held = np.array([r["coin"] for r in found], bool)
-        raw = [(r.pop("text") or "").lower().encode() for r in found]
+        lower = pc.utf8_lower(pa.array([r.pop("text") or "" for r in found], pa.string()))  # as texts are scored
+        raw = [t.encode() for t in lower.to_pylist()]
         pa.default_memory_pool().release_unused()
         part = None
         if 0 < y[~held].sum() < (~held).sum():
-            part = fit([t for t, h in zip(raw, held, strict=True) if not h], y[~held], s, share).pack()
-        model = fit(raw, y, s, share) if 0 < y.sum() < len(y) else constant(s, share)
-        yield pa.RecordBatch.from_arrays([pa.array([model.pack()], pa.binary()), pa.array([part], pa.binary())], ["model", "part"])
+            part = kept(fit([t for t, h in zip(raw, held, strict=True) if not h], y[~held], s, share), "part")
+        model = kept(fit(raw, y, s, share) if 0 < y.sum() < len(y) else constant(s, share), "model")
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary()), pa.array([part], pa.binary())], ["model", "part"])
 
-    # the sample has a bound, so one task may hold it; what comes back is two models of fixed size
+    def opened(told: bytes, cuts: dict[str, float]) -> Model:
+        return Model.unpack(bytes(told), s, cuts) if folder is None else Model.mapped(bytes(told).decode(), s, cuts)
+
+    # the sample has a bound, so one task may hold it; what comes back is two names, or two models of fixed size
     row = rows.repartition(1).mapInArrow(learn, "model binary, part binary").first()
     if row is None:
         return constant(s, share)
     if row["part"] is None:
-        return Model.unpack(bytes(row["model"]), s, {})
-    part = Model.unpack(bytes(row["part"]), s, {})
+        return opened(row["model"], {})
+    part = opened(row["part"], {})
     scored = texts.where(fold("doc_id", s.folds) != 0).select("doc_id", "lang", score(part, docs, F.col("text")).alias("score"))
     fitted = sample.where("not coin").select("doc_id", F.lit(True).alias("fitted"))
     labelled = scored.join(marked, "doc_id").join(F.broadcast(fitted), "doc_id", "left")
     one = labelled.groupBy("doc_id").agg(F.max("label").alias("label"), F.min(F.struct("lang", "score")).alias("at"), F.max(F.coalesce("fitted", F.lit(False))).alias("fitted"))
-    return Model.unpack(bytes(row["model"]), s, thresholds(one.select("label", "at.lang", "at.score", "fitted")))
+    return opened(row["model"], thresholds(one.select("label", "at.lang", "at.score", "fitted")))
 
 
 def constant(s: Settings, share: float) -> Model:
@@ -293,13 +334,25 @@ def _one(model: Model, text: bytes) -> float:
     return float(probabilities(model, ids, rows)[0])
 
 
+_mapped: dict[str, Model] = {}
+
+
+def _at(folder: str, settings: Settings) -> Model:
+    """The model of a folder, mapped once in each worker."""
+    if folder not in _mapped:
+        _mapped.clear()
+        _mapped[folder] = Model.mapped(folder, settings)
+    return _mapped[folder]
+
+
 def score(model: Model, docs: DataFrame, text: Column) -> Column:
-    """Probability of toxicity of a whole text; null texts are scored as empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """Probability of toxicity of a whole text; null texts are scored as empty. A very long text is scored whole in its task."""
+    folder, settings = model.folder, model.settings
+    shared = None if folder else docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
     def classify(column: pa.Array) -> pa.Array:
-        model, found = shared.value, [np.zeros(0)]
+        model, found = _at(folder, settings) if folder else shared.value, [np.zeros(0)]
         for _, offsets, data in byte_blocks(pc.utf8_lower(column), 1 << 18):
             ids, rows = word_ids(data, offsets, model.settings)
             found.append(probabilities(model, ids, rows))
@@ -309,7 +362,7 @@ def score(model: Model, docs: DataFrame, text: Column) -> Column:
 
 
 def threshold(model: Model, lang: Column) -> Column:
-    """The language's threshold; that of all languages where it has too few labelled rows."""
+    """The language's threshold; that of all languages where it has no labelled rows of both kinds."""
     general = F.lit(model.thresholds.get("", 0.5))
     cuts = [x for k, v in model.thresholds.items() if k for x in (F.lit(k), F.lit(v))]
     return F.coalesce(F.create_map(*cuts)[F.coalesce(lang, F.lit(""))], general) if cuts else general
