@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import components
@@ -121,17 +121,22 @@ def _file_links(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa
         if len(ends[0]):
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in ends], ["a", "b"])
 
-    held = np.zeros((0, 3), np.int64)  # rows of the file that is still open
+    held: list[np.ndarray] = []  # rows of the file that is still open
     for batch in batches:
+        if not len(batch):
+            continue
         rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], 1)
-        rows = np.concatenate([held, rows])
+        if held and held[-1][-1, 0] != rows[0, 0]:
+            yield from emit(np.concatenate(held))
+            held = []
         change = np.flatnonzero(np.diff(rows[:, 0]))
         cut = int(change[-1]) + 1 if len(change) else 0
-        held = rows[cut:]
         if cut:
-            yield from emit(rows[:cut])
-    if len(held):
-        yield from emit(held)
+            yield from emit(np.concatenate([*held, rows[:cut]]))
+            held = []
+        held.append(rows[cut:])
+    if held:
+        yield from emit(np.concatenate(held))
 
 
 def links(entries: DataFrame, masks: list[int], max_bits: int = 3) -> DataFrame:
@@ -170,13 +175,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 BANDS = 16
 BAND_ROWS = 4
 #: Bits of the long fingerprint of a text's shingles, on which similarity is judged.
-LONG_BITS = 1024
+LONG_BITS = 2048
+#: Standard deviations by which the distance may exceed the one expected: pairs at the very threshold are linked nine times in ten.
+SLACK = 1.3
 _TURNS = np.random.default_rng(17).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 
 
 def long_distance(similarity: float) -> int:
-    """Differing bits of ``LONG_BITS`` that are expected at a Jaccard similarity: sets of equal size at that angle."""
-    return round(LONG_BITS * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    """Bits of ``LONG_BITS`` in which texts of a Jaccard similarity may differ: sets of equal size at that angle, with slack."""
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return round(LONG_BITS * share + SLACK * np.sqrt(LONG_BITS * share * (1 - share)))
 
 
 def _majority(hashes: np.ndarray, words: int) -> np.ndarray:
@@ -199,13 +207,15 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
     return mix(span_hashes(mix(least), bounds[:-1], bounds[1:]) + np.arange(BANDS, dtype=np.uint64))
 
 
-def _profiles(column: pa.Array, size: int, keys_only: bool = False) -> Iterator[tuple[int, np.ndarray | None]]:
-    """Hash of the words of every text, and the band keys and the long fingerprint of its shingles."""
+def _profiles(column: pa.Array, size: int, keys_only: bool = False) -> Iterator[tuple[bytes, np.ndarray | None]]:
+    """128-bit hash of the words of every text, and the band keys and the long fingerprint of its shingles."""
     for _, offsets, data in byte_blocks(pc.utf8_lower(column)):
         starts, ends, rows = word_spans(data, offsets)
         hashes = word_hashes(data, starts, ends)
-        keys = span_hashes(hashes, rows[:-1], rows[1:]).view(np.int64).tolist()
-        for i, key in enumerate(keys):
+        halves = [span_hashes(h, rows[:-1], rows[1:]) for h in (hashes, mix(hashes + np.uint64(0x9E3779B97F4A7C15)))]
+        keys = np.stack(halves, 1)
+        for i in range(len(keys)):
+            key = keys[i].tobytes()
             if keys_only:
                 yield key, None
                 continue
@@ -257,7 +267,7 @@ def _alike_links(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.R
     for batch in batches:
         if not len(batch):
             continue
-        files, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        files, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))  # ids are bytes
         longs = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(len(batch), -1)
         if held and held[-1][0][-1] != files[0]:
             yield from emit(held)
@@ -275,20 +285,48 @@ def _alike_links(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.R
 def words_key(text: Column) -> Column:
     """A hash of a text's lower-cased words; equal for texts that differ in case and white space only."""
 
-    @F.arrow_udf("bigint")
+    @F.arrow_udf("binary")
     def key(column: pa.Array) -> pa.Array:
-        return pa.array([k for k, _ in _profiles(column, 1, True)], pa.int64())
+        return pa.array([k for k, _ in _profiles(column, 1, True)], pa.binary())
 
     return key(text)
 
 
+def _in_company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (file, key) sorted by file those whose file has another row; only the last row of a batch is held back."""
+    last: tuple[int, bytes, bool] | None = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        files = batch.column(0).to_numpy()
+        same = np.zeros(len(files) + 1, bool)  # whether a row's file is that of the row before
+        same[1:-1] = files[1:] == files[:-1]
+        same[0] = last is not None and last[0] == files[0]
+        if last is not None and (last[2] or same[0]):
+            yield pa.RecordBatch.from_arrays([pa.array([last[0]], pa.int64()), pa.array([last[1]], pa.binary())], ["file", "key"])
+        kept = same[:-1] | same[1:]
+        last = (int(files[-1]), batch.column(1)[-1].as_py(), bool(same[-2]))
+        kept[-1] = False
+        yield pa.RecordBatch.from_arrays([c.filter(pa.array(kept)) for c in batch.columns], ["file", "key"])
+    if last is not None and last[2]:
+        yield pa.RecordBatch.from_arrays([pa.array([last[0]], pa.int64()), pa.array([last[1]], pa.binary())], ["file", "key"])
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """A column name that the input lacks."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def one_of_each_group(docs: DataFrame, size: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest id (a null id only if all are null).
 
     Texts are candidates if they agree in one of ``BANDS`` groups of minima of their ``size``-word shingles; they are linked if
     their long fingerprints of the same shingles are as close as sets of that Jaccard similarity. Every two candidates are
     compared, or connected already, whatever the number of texts that agree. Groups are
-    connected components. Null and wordless texts are one group. All columns are kept.
+    connected components. Null and wordless texts are one group. Of rows that share id and words the one that stays is the
+    smallest by the hash of all its columns. A very long text is hashed whole in its task. All columns are kept, whatever their names.
     """
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
@@ -296,31 +334,36 @@ def one_of_each_group(docs: DataFrame, size: int = 5, similarity: float = 0.8, d
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, profiles = zip(*_profiles(batch.column(1), size), strict=True) if len(batch) else ((), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array([p.tobytes() for p in profiles], pa.binary())], ["doc_id", "key", "profile"])
+            parts = [pa.array([p[cut].tobytes() for p in profiles], pa.binary()) for cut in (slice(BANDS), slice(BANDS, None))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), *parts], ["doc_id", "key", "bands", "long"])
 
-    marks = stored(source.mapInArrow(profile, f"doc_id {kind}, key long, profile binary"), "profiles")
-    counts = marks.groupBy("key", "doc_id").agg(F.count("*").alias("n"), F.min("profile").alias("profile"))
+    marks = stored(source.mapInArrow(profile, f"doc_id {kind}, key binary, bands binary, long binary"), "profiles")
+    shown = F.min(F.struct("bands", "long")).alias("shown")  # the same for all rows of a key
+    counts = marks.groupBy("key", "doc_id").agg(F.count("*").alias("n"), shown)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "n")).alias("first")
-    distinct = stored(counts.groupBy("key").agg(first, F.min("profile").alias("profile")), "texts")
+    distinct = stored(counts.groupBy("key").agg(first, F.min("shown").alias("shown")).select("key", "first", "shown.*"), "texts")
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                p = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64).reshape(len(batch), -1)
-                longs = [x.tobytes() for x in p[:, BANDS:] for _ in range(BANDS)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(p[:, :BANDS].ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS)), pa.array(longs, pa.binary())], ["file", "id", "long"]
-                )
+                files = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(files), batch.column(0).take(pa.array(np.repeat(np.arange(len(batch)), BANDS)))], ["file", "key"])
 
     limit = long_distance(similarity)
-    filed = distinct.select("key", "profile").mapInArrow(entries, "file long, id long, long binary")
-    dealt = filed.repartition("file").sortWithinPartitions("file", "id")
-    linked = dealt.mapInArrow(lambda batches: _alike_links(batches, limit), "a long, b long").distinct()
+    filed = distinct.select("key", "bands").mapInArrow(entries, "file long, key binary")
+    # most texts share no file; fingerprints travel only for those that do
+    shared = stored(filed.repartition("file").sortWithinPartitions("file").mapInArrow(_in_company, "file long, key binary"), "files")
+    judged = shared.join(distinct.select("key", "long"), "key").select("file", F.col("key").alias("id"), "long")
+    dealt = judged.repartition("file").sortWithinPartitions("file", "id")
+    linked = dealt.mapInArrow(lambda batches: _alike_links(batches, limit), "a binary, b binary").distinct()
     labels = components(linked)
     grouped = distinct.join(labels, distinct.key == labels.node, "left").select("key", "first", F.coalesce("label", "key").alias("label"))
     chosen = grouped.groupBy("label").agg(F.min(F.struct("first", "key")).alias("least"))
-    chosen = chosen.select(F.col("least.key").alias("__key"), F.col("least.first.doc_id").alias("__id"), (F.col("least.first.n") > 1).alias("__again"))
-    rows = docs.withColumn("__key", words_key(F.col(text)))
-    kept = rows.join(chosen, "__key").where(F.col(doc_id).eqNullSafe(F.col("__id")))
-    once = kept.where(~F.col("__again")).unionByName(kept.where("__again").dropDuplicates(["__key"]))
-    return once.select(*docs.columns)
+    key, id_, again, order = (_free(n, docs.columns) for n in ("_words", "_id", "_again", "_order"))
+    chosen = chosen.select(F.col("least.key").alias(key), F.col("least.first.doc_id").alias(id_), (F.col("least.first.n") > 1).alias(again))
+    kept = docs.withColumn(key, words_key(F.col(text))).join(chosen, key).where(F.col(doc_id).eqNullSafe(F.col(id_)))
+    # few rows share an id: only these are ordered
+    whole = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema.fields])
+    line = Window.partitionBy(key).orderBy(order)
+    single = kept.where(again).withColumn(order, whole).withColumn(id_, F.row_number().over(line)).where(F.col(id_) == 1)
+    return kept.where(~F.col(again)).select(*docs.columns).unionByName(single.select(*docs.columns))

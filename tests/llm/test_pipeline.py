@@ -76,6 +76,30 @@ def test_run_equals_the_stages(spark, stages):
     assert sorted(tuple(r) for r in want) == sorted(tuple(r)[:5] for r in got)
 
 
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long, spans string, key long"
+
+
+@pytest.mark.parametrize("stage", ["deduplicate", "decontaminate", "redact_secrets", "reject_toxic"])
+def test_stages_with_odd_rows(spark, stage):
+    secret = "my password = hunter22x now"
+    rows = [(i, t, "en", None, len(t or ""), "x", 1) for i, t in [(1, None), (2, ""), (3, " \n"), (4, secret), (4, secret), (None, "clean words here"), (5, "é" * 200_000), (6, "lone document of its own")]]
+    function = getattr(corpus_pipeline, stage)
+    docs = spark.createDataFrame(rows, DOCUMENT)
+    found = function(spark, docs, FOLDER)
+    assert found.columns == docs.columns
+    got = sorted(str(r.doc_id) for r in found.collect())
+    if stage == "deduplicate":  # null and wordless texts are one group
+        assert got == ["1", "4", "5", "6", "None"]
+    elif stage == "reject_toxic":  # nothing to learn from, or learnt from too little: rows are kept or go, none is made
+        assert set(got) <= {str(r[0]) for r in rows}
+    else:
+        assert got == sorted(str(r[0]) for r in rows)
+    if stage == "redact_secrets":
+        texts = {r.doc_id: (r.text, r.n_chars, r.spans) for r in found.collect()}
+        assert texts[4] == ("my [secret] now", 15, "x") and texts[1] == (None, 0, "x") and texts[2] == ("", 0, "x")
+    assert function(spark, docs.limit(0), FOLDER).collect() == []
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_return_a_row_per_document(spark, name):
     df = QUERIES[name](spark, FOLDER)

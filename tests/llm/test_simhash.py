@@ -188,6 +188,46 @@ def test_pairs_alike_by_brute_force_lose_one(spark, frame, kind):
     assert len(kept) <= alike + alike * 0.1 and all(i in kept for i, _ in rows if i % 2 == 0)
 
 
+def near_the_threshold(rng, kind, pairs):
+    """Pairs of texts with a five-word-shingle similarity of 0.80 to 0.83."""
+    share = {"appended": 0.23, "truncated": 0.185, "replaced": 0.095, "scattered": 0.021}[kind]
+    found = 0
+    while found < pairs:
+        words = zipf(rng, int(rng.integers(150, 500)))
+        n = len(words)
+        k = max(1, int(n * share * rng.uniform(0.7, 1.2)))
+        if kind == "appended":
+            other = words + zipf(rng, k)
+        elif kind == "truncated":
+            other = words[: n - k]
+        elif kind == "replaced":
+            at = int(rng.integers(0, n - k))
+            other = words[:at] + zipf(rng, k) + words[at + k :]
+        else:
+            other = list(words)
+            for at in rng.choice(n, k, replace=False):
+                other[at] = "edited"
+        x, y = shingles(" ".join(words)), shingles(" ".join(other))
+        if 0.80 <= len(x & y) / len(x | y) <= 0.83:
+            found += 1
+            yield " ".join(words), " ".join(other)
+
+
+@pytest.mark.parametrize("kind", ["appended", "truncated", "replaced", "scattered"])
+def test_pairs_at_the_threshold(spark, frame, kind):
+    rows = [(2 * i + k, t) for i, pair in enumerate(near_the_threshold(np.random.default_rng(5), kind, 40)) for k, t in enumerate(pair)]
+    kept = {r.doc_id for r in one_of_each_group(frame(rows)).collect()}
+    assert all(i in kept for i, _ in rows if i % 2 == 0)
+    assert len(kept) <= 44  # nine pairs in ten, at least
+
+
+def test_clashing_names_and_ties(spark):
+    schema = "doc_id long, text string, `_words` string, `_ID` string, `_again` int, `_order` string, m map<string,int>"
+    rows = [(1, "a b c", "w1", "i1", 1, "o1", {"k": 1}), (1, "A  b c", "w2", "i2", 2, "o2", None), (2, "a b c", "w3", "i3", 3, "o3", None), (3, "other text", "w4", "i4", 4, "o4", None)]
+    found = [sorted(tuple(r)[2:6] for r in one_of_each_group(spark.createDataFrame(rows[::turn], schema).repartition(2)).collect()) for turn in (1, -1)]
+    assert found[0] == found[1] and len(found[0]) == 2 and found[0][1] == ("w4", "i4", 4, "o4") and found[0][0][0] in ("w1", "w2")
+
+
 def test_copies_alike_through_their_original_only_in_a_large_file(spark, frame):
     rng = np.random.default_rng(8)
     words = [f"w{i}" for i in rng.permutation(200)]
