@@ -41,9 +41,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every reported span masked and n_chars counted anew where the text has changed."""
     ship(spark)
-    masked = docs.withColumn("__text", credentials.redacted(F.col("text")))
-    length = F.when(F.col("__text").eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.char_length("__text").cast("long"))
-    return masked.withColumn("n_chars", length).withColumn("text", F.col("__text")).select(*docs.columns)
+    masked = credentials.redacted(F.col("text"))
+    # both columns are replaced in one projection, so no further name is needed
+    held = docs.select(*[F.struct(masked.alias("text"), F.col("n_chars"), F.col("text").alias("before")).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    length = F.when(F.col("text.text").eqNullSafe(F.col("text.before")), F.col("text.n_chars")).otherwise(F.char_length("text.text").cast("long"))
+    return held.withColumns({"n_chars": length, "text": F.col("text.text")})
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
