@@ -7,7 +7,8 @@ import zlib
 
 import numpy as np
 
-from siltstone.llm.langid import Settings, languages, score_words, train, words_of
+from siltstone.llm.arrays import read_array
+from siltstone.llm.langid import languages, score_words, train, words_of
 from tests.llm.helpers import edge_texts, frame, shipped  # noqa: F401
 
 
@@ -59,16 +60,40 @@ def test_held_out_rows_teach_nothing(spark, frame):
     rows = corpus(100)
     turned = [(i, t, "zz" if zlib.crc32(str(i).encode()) % 5 == 0 else lang) for i, t, lang in rows]
     a, b = (train(frames(frame, r)) for r in (rows, turned))
-    assert a.langs == b.langs and all(np.array_equal(a.known[k][0], b.known[k][0]) for k in a.known)
+    assert a.langs == b.langs and a.sizes == b.sizes
+    for level in a.sizes:
+        keys = np.sort(np.concatenate([read_array(a.folder, f"{level}-key-{s}") for s, n in enumerate(a.sizes[level]) if n]))
+        assert all(np.array_equal(x, y) for x, y in zip(a.rows(level, keys), b.rows(level, keys), strict=True))
 
 
 def test_unseen_words_fall_back_to_shorter_grams(spark, frame):
     docs = frames(frame, corpus())
-    model = train(docs, Settings(words=50))
-    data = np.frombuffer("tarkalo tarkalokalotar xq q".encode(), np.uint8)
+    model = train(docs)
+    data = np.frombuffer("tarkalo tarkalokalotarqq xq q".encode(), np.uint8)
     points, starts, ends, _ = words_of(data, np.array([0, len(data)]))
     scores = score_words(model, points, starts, ends)
     best = model.langs.index("aa")
     assert scores[0].argmax() == best and scores[1].argmax() == best
     assert scores[2].argmax() == model.langs.index("cc")  # only its x is known
     assert (scores[3] == 0).all()
+
+
+def test_every_word_and_gram_of_the_sample_is_kept(spark, frame, monkeypatch):
+    monkeypatch.setattr("siltstone.llm.langid.SHARD", 100)  # several shards
+    rows = corpus(200)
+    model = train(frames(frame, rows))
+    assert model.bits > 1
+    taught = [(t, lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 5]
+    counts = {}
+    for text, lang in taught:
+        for w in text.split():
+            counts.setdefault(w, {}).setdefault(lang, 0)
+            counts[w][lang] += 1
+    totals = {lang: sum(c.get(lang, 0) for c in counts.values()) for lang in model.langs}
+    assert sum(model.sizes[0]) == len(counts)
+    assert sum(model.sizes[3]) == len({w[k : k + 3] for w in counts for k in range(len(w) - 2)})
+    words = sorted(counts)
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    points, starts, ends, _ = words_of(data, np.array([0, len(data)]))
+    want = [[np.log(counts[w].get(lang, 0.5) / totals[lang]) for lang in model.langs] for w in words]
+    assert np.allclose(score_words(model, points, starts, ends), want, atol=1e-5)
