@@ -51,6 +51,7 @@ class Model:
     pair_discounts: list[float]
     word_discounts: list[float]
     word_levels: list[int]  # tokens that follow one, two, more contexts
+    filled: dict[str, set[int]]  # ranges that were written; only others may be absent
 
 
 def token_blocks(column: pa.Array, least: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -172,7 +173,8 @@ def train(texts: DataFrame, text: str = "text") -> Model:
         word_sizes[r["shard"]] = r["size"]
 
     pair_bits = _bits(total)
-    range_size = SHARD
+    # as many ranges of numbers as shards of pairs, so what a task adds up has a bound however few numbers there are
+    range_size = min(SHARD, max(1 << 14, -(-(vocabulary + 1) // (1 << pair_bits))))
 
     def numbers_of(tokens: np.ndarray, vocab: SortedHashes) -> np.ndarray:
         keys, inverse = np.unique(tokens, return_inverse=True)
@@ -236,19 +238,22 @@ def train(texts: DataFrame, text: str = "text") -> Model:
         for (kind, at), columns in held.items():
             for k, values in enumerate(columns):
                 write_array(folder, f"{kind}-{k}-{at}", values)
+            levels = [0] * 5
             if kind == "token":
                 seen, n = np.unique(columns[0][columns[0] > 0], return_counts=True)
                 levels = [int(n[seen == k].sum()) for k in range(1, 5)] + [int(n[seen > 4].sum())]
-                yield pa.RecordBatch.from_pydict({"levels": pa.array([levels], pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict({"kind": [kind], "at": pa.array([at], pa.int64()), "levels": pa.array([levels], pa.list_(pa.int64()))})
 
-    ranges = written.where("kind <> 'size'").repartition("kind", "at").mapInArrow(write_ranges, "levels array<long>")
+    ranges = written.where("kind <> 'size'").repartition("kind", "at").mapInArrow(write_ranges, "kind string, at long, levels array<long>")
     token_levels = np.zeros(5, np.int64)
+    filled: dict[str, set[int]] = {"context": set(), "token": set()}
     for r in ranges.collect():  # one row per range
         token_levels += r["levels"]
+        filled[r["kind"]].add(r["at"])
     return Model(
         folder, word_bits, word_sizes, pair_bits, pair_sizes, range_size, total, vocabulary, int(sum(pair_sizes)),
         _discounts(dict(enumerate(levels.tolist(), 1))), _discounts(dict(enumerate(token_levels.tolist(), 1))),
-        [int(token_levels[0]), int(token_levels[1]), int(token_levels[2:].sum())],
+        [int(token_levels[0]), int(token_levels[1]), int(token_levels[2:].sum())], filled,
     )
 
 
@@ -267,10 +272,8 @@ class Scorer:
         bounds = np.searchsorted(numbers, np.arange(numbers[-1] // size + 2) * size) if len(numbers) else [0]
         for at in np.flatnonzero(np.diff(bounds)):
             a, b = bounds[at], bounds[at + 1]
-            try:
+            if int(at) in self.model.filled[name.split("-")[0]]:  # else no number of the range is ever in this place
                 out[a:b] = read_array(self.model.folder, f"{name}-{at}")[numbers[a:b] - at * size]
-            except FileNotFoundError:  # a range of numbers that are never in this place
-                pass
         return out
 
     def score(self, tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
