@@ -6,8 +6,9 @@ their local maxima begin phrases of a few symbols. A phrase is named by a hash o
 level's symbols. Where a phrase begins depends on few symbols around it, so equal substrings get the same names inside,
 wherever they stand. Runs of one symbol count as one symbol while phrases are cut, and in full when they are named.
 
-The fingerprint is a bottom-k sketch of the names of all phrases from ``Settings.lowest`` levels up, with the root. Short
-texts have a second sketch, of the levels below. Two short texts are compared by all levels, other texts by those both have.
+The fingerprint is a weighted bottom-k sketch of the names of the phrases of all levels, the same for texts of any length. A name
+weighs as much as its phrase has bytes, up to ``Settings.widest``, so the many short phrases of the lowest level, of which
+unrelated texts share some, do not crowd out the longer ones, and short texts are still told apart by them.
 """
 
 from __future__ import annotations
@@ -27,8 +28,7 @@ HEX = 8  # digits of a sketch value
 
 @dataclass(frozen=True)
 class Settings:
-    lowest: int = 2
-    short: int = 512  # bytes; shorter texts have few phrases, so the lower levels of theirs are sketched too
+    widest: int = 32
     keep: int = 48
 
 
@@ -70,77 +70,61 @@ def phrase_starts(symbols: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return heads[top]
 
 
-def phrase_names(data: np.ndarray, offsets: np.ndarray, s: Settings, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(row, name) of the phrases of all rows from ``s.lowest`` levels up and with the root of every row; empty rows have none.
-
-    With ``lower``, instead those of the levels below, of short rows and without roots.
-    """
+def phrase_names(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, name, bytes) of the phrases of all rows on all levels, up to the root of every row; empty rows have none."""
     filled = np.flatnonzero(np.diff(offsets) > 0)
     if not len(filled):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     symbols, codes = data, _BYTE_NAMES[data]
+    widths = np.ones(len(data), np.int64)
     rows = np.append(offsets[:-1][filled], len(data))
-    short = np.diff(rows) < s.short
-    found_rows, found = [], []
+    found_rows, found, found_widths = [], [], []
     level = 0
-    while len(filled) and not (lower and level + 1 >= s.lowest):  # every level has fewer symbols in a row, down to one, its root
+    while len(filled):  # every level has fewer symbols in a row, down to one, its root
         starts = phrase_starts(symbols, rows)
         names = span_hashes(codes, starts, np.append(starts[1:], len(symbols)))
+        widths = np.add.reduceat(widths, starts)
         sizes = np.diff(np.append(np.searchsorted(starts, rows[:-1]), len(names)))
         level += 1
+        found_rows.append(np.repeat(filled, sizes))
+        found.append(mix(names + np.uint64(level)))
+        found_widths.append(widths)
         root = sizes == 1
-        high = root | (level >= s.lowest)
-        counted = np.repeat(short & ~high if lower else high, sizes)
-        found_rows.append(np.repeat(filled, sizes)[counted])
-        found.append(mix(names[counted] + np.uint64(level)))
-        symbols = codes = names[np.repeat(~root, sizes)]
-        filled, short = filled[~root], short[~root]
+        inner = np.repeat(~root, sizes)
+        symbols = codes = names[inner]
+        widths = widths[inner]
+        filled = filled[~root]
         rows = np.append(0, np.cumsum(sizes[~root]))
-    return np.concatenate([np.zeros(0, np.int64), *found_rows]), np.concatenate([np.zeros(0, np.uint64), *found])
-
+    return np.concatenate(found_rows), np.concatenate(found), np.concatenate(found_widths)
 
-def _bottom(row: np.ndarray, name: np.ndarray, rows: int, keep: int) -> Iterator[np.ndarray]:
-    keys = np.unique((row.astype(np.uint64) << np.uint64(32)) | (name >> np.uint64(32)))
-    bounds = np.searchsorted(keys, np.arange(rows + 1).astype(np.uint64) << np.uint64(32))
-    values = (keys & np.uint64(0xFFFFFFFF)).astype(">u4")
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        yield values[a : min(b, a + keep)]
 
+def ranks(names: np.ndarray, widths: np.ndarray, widest: int) -> np.ndarray:
+    """A 32-bit rank for every name: exponential with its weight as rate, so a heavier name ranks low more often."""
+    share = ((names >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+    return (-np.log(share) / np.minimum(widths, widest)).astype(np.float32).view(np.uint32)  # positive floats sort as their bits
 
-def sketches(column: pa.Array, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
-    """The ``keep`` smallest 32-bit values of every text's names, ascending, and those of a short text's lower levels.
 
-    An empty text has none of the first. The second is None for texts that are not short.
-    """
+def sketches(column: pa.Array, s: Settings) -> Iterator[np.ndarray]:
+    """The ``keep`` smallest ranks of every text's names, ascending; an empty text has none."""
     for _, offsets, data in byte_blocks(column, 1 << 19):
-        rows = len(offsets) - 1
-        short = np.diff(offsets) < s.short
-        high = _bottom(*phrase_names(data, offsets, s), rows, s.keep)
-        # the lower levels of the short texts only
-        own = data[np.repeat(short, np.diff(offsets))]
-        ends = np.append(0, np.cumsum(np.where(short, np.diff(offsets), 0)))
-        low = _bottom(*phrase_names(own, ends, s, True), rows, s.keep)
-        for x, y, brief in zip(high, low, short, strict=True):
-            yield x, y if brief else None
+        row, names, widths = phrase_names(data, offsets)
+        keys = np.unique((row.astype(np.uint64) << np.uint64(32)) | ranks(names, widths, s.widest))
+        bounds = np.searchsorted(keys, np.arange(len(offsets)).astype(np.uint64) << np.uint64(32))
+        values = (keys & np.uint64(0xFFFFFFFF)).astype(">u4")
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield values[a : min(b, a + s.keep)]
 
 
-def spelled(values: tuple[np.ndarray, np.ndarray | None]) -> str:
-    """Hex digits of the sketch; after a dot those of the lower levels, where a text is short. The empty text has none."""
-    high, low = (None if v is None else v.astype(">u4").tobytes().hex() for v in values)
-    return high if low is None or not high else f"{high}.{low}"
+def spelled(values: np.ndarray) -> str:
+    """Hex digits of the sketch."""
+    return values.astype(">u4").tobytes().hex()
 
 
 def likeness(a: str, b: str, keep: int) -> float:
-    """Share of the smallest values of both that are in each: the Jaccard likeness of the name sets, estimated.
-
-    The names are those of the levels that both fingerprints have.
-    """
+    """Share of the smallest values of both that are in each: the weighted Jaccard likeness of the names, estimated."""
     if a == b:
         return 1.0
-    if "." in a and "." in b:
-        x, y = (np.union1d(*(np.frombuffer(bytes.fromhex(v), ">u4") for v in t.split(".")))[:keep] for t in (a, b))
-    else:
-        x, y = (np.frombuffer(bytes.fromhex(t.partition(".")[0]), ">u4") for t in (a, b))
+    x, y = (np.frombuffer(bytes.fromhex(v), ">u4") for v in (a, b))
     smallest = np.union1d(x, y)[:keep]
     return float(np.isin(np.intersect1d(x, y), smallest).sum() / len(smallest)) if len(smallest) else 1.0
 
@@ -173,10 +157,10 @@ def with_next(docs: DataFrame, key: str, bring: dict[str, Column], partitions: i
     if not order:
         return docs.withColumns({k: F.lit(None).cast(docs.select(v).schema[0].dataType) for k, v in bring.items()})
     before = dict(zip(order, [order[-1], *order[:-1]], strict=True))
-    guest = F.lit(None).cast("int")
-    for r in order:
-        is_head = F.col(key).isNull() if heads[r] is None else F.col(key) == heads[r]
-        guest = F.when((F.col("range") == r) & is_head, before[r]).otherwise(guest)
+    kind = docs.schema[key].dataType
+    # looked up by range: the plan has two constant arrays, whatever the number of ranges
+    head, target = (F.element_at(F.array(*[F.lit(of.get(r)).cast(t) for r in range(len(bounds) + 2)]), F.col("range") + 1) for of, t in ((heads, kind), (before, "int")))
+    guest = F.when(F.col(key).eqNullSafe(head), target)
     stands = F.array(F.struct(F.lit(0).alias("guest"), F.col("range").alias("at")), F.struct(F.lit(1).alias("guest"), guest.alias("at")))
     both = placed.withColumn("stand", F.explode(F.filter(stands, lambda s: s["at"].isNotNull()))).select("*", "stand.guest", "stand.at").drop("stand", "range")
     along = Window.partitionBy("at").orderBy("guest", F.col(key).desc_nulls_last(), *bring.values())
@@ -188,7 +172,8 @@ def document_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "
 
     The edited text is the text with its last floor(n_chars / 2) code points replaced by the first as many of the next
     document, by descending doc_id. Null texts are empty. Documents without an id come last; those with equal ids follow each
-    other by text. Equal texts have equal fingerprints, and likeness 1. Other columns are not read.
+    other by text. Equal texts have equal fingerprints, and likeness 1. A very long text is parsed whole in its task. An
+    empty table gives an empty result. Other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))

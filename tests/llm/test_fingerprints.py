@@ -53,7 +53,7 @@ def test_equal_substrings_share_phrases_at_any_offset():
     sets = []
     for before in ("", "x", "some other words before ", sentence(rng, 50)):
         data = np.frombuffer((before + shared + sentence(rng, 20)).encode(), np.uint8)
-        sets.append(set(phrase_names(data, np.array([0, len(data)]), Settings())[1].tolist()))
+        sets.append(set(phrase_names(data, np.array([0, len(data)]))[1].tolist()))
     alone = sets[0]
     assert all(len(alone & s) / len(alone) > 0.75 for s in sets)
 
@@ -78,14 +78,29 @@ def test_likeness():
     assert 0 <= likeness(a, b, 48) < 0.2
 
 
-def test_texts_on_both_sides_of_the_short_bound_are_compared_by_common_levels():
+@pytest.mark.parametrize("size", [40, 200, 500, 505, 520, 2000, 20_000])
+def test_the_same_edit_gives_much_the_same_likeness_at_any_length(size):
     rng = random.Random(8)
-    found = []
-    for _ in range(20):
-        text = sentence(rng, 200)[:505]
-        longer = text + " more words"
-        shorter = text[:-11]
-        found.append((likeness(own(text), own(longer), 48), likeness(own(shorter), own(text), 48)))
-    across, below = np.mean(found, axis=0)
-    assert across > 0.75 and abs(across - below) < 0.15
-    assert likeness(own(text), own(sentence(rng, 300)), 48) < 0.2
+    half, grown, apart = [], [], []
+    for _ in range(30):
+        text, other = sentence(rng, size)[:size], sentence(rng, size)[:size]
+        cut = size - size // 2
+        half.append(likeness(own(text), own(text[:cut] + other[: size // 2]), 48))
+        grown.append(likeness(own(text), own(text + other[: size // 10]), 48))
+        apart.append(likeness(own(text), own(other), 48))
+    assert 0.2 < np.mean(half) < 0.55 and np.mean(grown) > 0.6 and np.mean(apart) < 0.25
+    assert np.mean(grown) > np.mean(half) + 0.15 and np.mean(half) > np.mean(apart) + 0.1
+
+
+def test_likeness_estimates_the_weighted_share():
+    rng = random.Random(9)
+    shared, more = sentence(rng, 3000), sentence(rng, 1000)
+    names = []
+    for text in (shared, shared + " " + more):
+        data = np.frombuffer(text.encode(), np.uint8)
+        _, name, width = phrase_names(data, np.array([0, len(data)]))
+        names.append(dict(zip(name.tolist(), np.minimum(width, 32).tolist(), strict=True)))
+    both = sum(w for n, w in names[0].items() if n in names[1])
+    whole = sum((names[0] | names[1]).values())
+    found = likeness(*(spelled(next(sketches(pa.array([t]), Settings(keep=4000)))) for t in (shared, shared + " " + more)), 4000)
+    assert abs(found - both / whole) < 0.04
