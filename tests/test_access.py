@@ -117,6 +117,39 @@ def test_pages_of_equal_rows(spark):
     assert [len(p) for p in paged(df, ["x"], 28)] == [28]
 
 
+@pytest.mark.parametrize("n", [150, 400])
+def test_large_pages_stay_out_of_the_driver(spark, monkeypatch, n):
+    monkeypatch.setattr("siltstone.operators.pages.SCREEN", 0, raising=False)
+    rng = random.Random(5)
+    cells = (["a", "b", None], [1.5, float("nan"), 0.0, None], [dt.datetime(2024, 1, 1, 2, 3, 4, 567), None], [[1], [], None])
+    df = spark.createDataFrame([tuple(map(rng.choice, cells)) for _ in range(300)] + [("a", 1.5, None, [1])] * 100, "s string, v double, t timestamp, a array<int>").repartition(4)
+    order = [By("s", True, True), By("v")]
+    whole = [str(tuple(r)) for r in df.orderBy(*[o.sort() for o in order], F.asc_nulls_last("t"), F.asc_nulls_last("a")).collect()]
+    most, collect, got, token = [0], type(df).collect, [], None
+
+    def counted(self):
+        found = collect(self)
+        most[0] = max(most[0], len(found))
+        return found
+
+    while True:
+        with monkeypatch.context() as patched:
+            patched.setattr(type(df), "collect", counted)
+            page, token = keyset_page(df, order, n, token)
+        got.append([str(tuple(r)) for r in page.collect()])
+        if token is None:
+            break
+    assert [r for page in got for r in page] == whole and all(len(page) == n for page in got[:-1]) and got[-1]
+    assert most[0] <= 8  # sizes of the ranges and one key
+
+
+def test_large_pages_of_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr("siltstone.operators.pages.SCREEN", 0)
+    df = spark.createDataFrame([(1,)] * 25 + [(0,)] * 3, "x int")
+    assert [len(p) for p in paged(df, ["x"], 10)] == [10, 10, 8]
+    assert paged(df.limit(0), ["x"], 10) == [[]]
+
+
 def test_a_token_fits_its_order_only(spark):
     df = spark.range(10).selectExpr("id", "id % 3 as g")
     _, token = keyset_page(df, ["g"], 4)
