@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from siltstone.functions.text import local_number, period_year, recode, territory_code, unit_code
 from siltstone.operators.decode import decode_wide_tsv
+from siltstone.sources.scratch import scratch_path
 
 CORRUPT = "_corrupt_record"
 
@@ -340,17 +342,75 @@ def read_sectioned_lines(spark: SparkSession, path: str | Sequence[str]) -> Data
     return attached.select("source_file", "value", at, F.nullif("section", F.lit(_CLOSED)).alias("section"))
 
 
+#: Bytes of the largest file that is hashed as one cell.
+WHOLE_FILE = 32 << 20
+
+# Endings that make Hadoop's line reader unpack a file.
+PACKED = r"[.](gz|bz2|zst|snappy|lz4|deflate|passthrough)$"
+
+
+def _digests_of_long_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """SHA-256 of files of any length: a task streams one file, in order, in batches of its lines.
+
+    Lines are bytes up to a line feed, whatever the bytes mean, so memory follows the longest of them. The hash of a file is
+    one chain, which no second task can share.
+    """
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark, path = b"\xef\xbb\xbf", None  # the line reader leaves out this mark
+        for batch in batches:
+            if not len(batch):
+                continue
+            if path is None:
+                path, size = batch.column(1)[0].as_py(), batch.column(2)[0].as_py()
+                plain, marked, n = hashlib.sha256(), hashlib.sha256(mark), -1
+            part = (b"" if n < 0 else b"\n") + b"\n".join(batch.column(0).to_pylist())
+            n = max(n, 0) + len(part)
+            plain.update(part)
+            marked.update(part)
+        if path is None:
+            return
+        if size - n in (1, 4):
+            n += 1
+            plain.update(b"\n")
+            marked.update(b"\n")
+        if size - n not in (0, 3):
+            raise ValueError(f"{n} bytes read of {size}: {path}")
+        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([(plain if n == size else marked).hexdigest()])], ["path", "content_sha256"])
+
+    out = scratch_path(spark, "file-digests")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in held:
+            spark.conf.set(k, str(1 << 60))  # no file is split, and none shares a task
+        lines = spark.read.option("lineSep", "\n").text(list(paths))
+        cells = lines.select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+        cells.mapInArrow(hashed, "path string, content_sha256 string").write.parquet(out)
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    return spark.read.parquet(out)
+
+
 def content_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Name, size and SHA-256 of every file."""
-    return (
-        spark.read.format("binaryFile")
-        .load(path)
-        .select(
-            F.regexp_extract("path", "([^/]+)$", 1).alias("file_name"),
-            F.col("length").alias("size_bytes"),
-            F.sha2("content", 256).alias("content_sha256"),
-        )
-    )
+    """Name, size and SHA-256 of every file.
+
+    Long files are streamed and hashed at once; packed ones (``.gz`` and the like) are read as one cell, up to 2 GB.
+    """
+    files = spark.read.format("binaryFile")
+    columns = [F.regexp_extract("path", "([^/]+)$", 1).alias("file_name"), F.col("length").alias("size_bytes")]
+    content = F.sha2("content", 256).alias("content_sha256")
+    long = files.load(path).where(F.col("length") > WHOLE_FILE).select("path", *columns, F.col("_metadata.file_path").alias("_uri"), F.lower("path").rlike(PACKED).alias("_packed"))
+    listed = [(r["path"], r["_packed"]) for r in long.collect()]  # names of files alone
+    packed, streamed = ([p for p, is_packed in listed if is_packed == kind] for kind in (True, False))
+    # a bound on the length alone is known before a file is opened
+    out = files.load(path).where(F.col("length") <= WHOLE_FILE).select(*columns, content)
+    if packed:
+        out = out.unionByName(files.load(packed).select(*columns, content))
+    if streamed:
+        digests = _digests_of_long_files(spark, streamed).withColumnRenamed("path", "_uri")
+        out = out.unionByName(long.join(digests, "_uri").select(*out.columns))
+    return out
 
 
 def inventory_digest(inventory: DataFrame, by: Sequence[str] = (), name: str = "file_name", digest: str = "content_sha256") -> DataFrame:

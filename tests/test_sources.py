@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import gzip
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +83,18 @@ def test_inventory(spark, tmp_path):
     assert got["content_inventory_sha256"] == hashlib.sha256(f"a.bin\0{sha['a.bin']}\nb.bin\0{sha['b.bin']}".encode()).hexdigest()
 
 
+def test_long_files_are_streamed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "WHOLE_FILE", 20)
+    noise = random.Random(1).randbytes(600_000)
+    bodies = {"n.bin": noise, "l.bin": noise + b"\n", "m.bin": b"\xef\xbb\xbf" + noise, "b.txt": b"\xef\xbb\xbfa\r\n\n\nb\r\n" * 9 + b"\n", "z.bin": bytes(50_000), "f.txt": b"\n" * 30, "s": b"x", "a b.txt": b"x\n" * 20, "p.gz": gzip.compress(noise)}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    files = readers.content_inventory(spark, str(tmp_path))
+    assert rows(files) == sorted((n, len(b), hashlib.sha256(b).hexdigest()) for n, b in bodies.items())
+    held = readers._digests_of_long_files(spark, [str(tmp_path / "n.bin")])
+    assert [r["content_sha256"] for r in held.collect()] == [hashlib.sha256(noise).hexdigest()]
+
+
 def test_inventory_gate(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"one")
     files = readers.content_inventory(spark, str(tmp_path))
