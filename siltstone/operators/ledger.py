@@ -85,9 +85,10 @@ def guarded_current(
     repeat, they may differ in labels, they must agree on the measures. The current value
     is the one of the highest sequence, ties broken by ``newest``.
     """
+    # the sequence leads: the fold sorts by its keys, and a key that all rows share decides no comparison
     observed = fold_replays(
-        df, [*source, *identity, sequence], [*measures, *labels, *evidence], agree_on=measures, message=message
-    )
+        df, [sequence, *source, *identity], [*measures, *labels, *evidence], agree_on=measures, message=message
+    ).select(*source, *identity, sequence, *measures, *labels, *evidence)
     current = latest_per_key(observed, identity, [sequence, *newest])
     return current if zero_flag is None else current.withColumn(zero_flag, any_zero(*measures))
 

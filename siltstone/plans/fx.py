@@ -163,7 +163,7 @@ def quote_change_events(quotes: Mapping[str, DataFrame], gold: DataFrame) -> Dat
     values = ["mid", "bid", "ask"]
     metadata = ["source_table", "currency", "country", "symbol", "no", "trading_date"]
     records = fold_replays(
-        observed, ["source_id", "effective_date", "code", "ingestion_sequence"], [*values, *metadata, *BATCH]
+        observed, ["ingestion_sequence", "source_id", "effective_date", "code"], [*values, *metadata, *BATCH]
     )
     found = change_events(
         records,

@@ -237,3 +237,10 @@ def test_row_order_and_partitioning_do_not_matter(spark):
     kw = dict(values=["mid"], metadata=["tbl", "name"], contract="v1", **KW)
     one = rows(change_events(base.coalesce(1), **kw))
     assert one == rows(change_events(base.orderBy(F.desc("seq")).repartition(7), **kw))
+
+
+def test_folds_sort_by_the_sequence_first(spark):
+    df = spark.createDataFrame([("s", "b", "k", 1, 1.0, "x")], "src string, batch string, code string, seq long, mid double, no string")
+    found = guarded_current(df, source=["src", "batch"], identity=["code"], sequence="seq", measures=["mid"], evidence=["no"])
+    assert "SortAggregate(key=[seq" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.columns == ["src", "batch", "code", "seq", "mid", "no"]
