@@ -51,6 +51,12 @@ def multiset_digest(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
     return hashed.groupBy(*by, "bucket").agg(F.count(F.lit(1)).alias("n"), *[F.sum(h).alias(s) for s, h in zip(SUMS, halves, strict=True)])
 
 
+def kept_digest(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+    """A digest that is computed now and read from storage by all that compare with it."""
+    scratch_root(df.sparkSession)
+    return multiset_digest(df, columns, by, buckets).checkpoint()
+
+
 def merged(digests: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Digest of the union of what the rows digest, per bucket."""
     return digests.groupBy(*by, "bucket").agg(F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in SUMS])
@@ -97,7 +103,7 @@ def digest_equivalence(left: DataFrame, right: DataFrame) -> DataFrame:
 def compare_datasets(left: DataFrame, right: DataFrame, technical: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
     """Whether two datasets hold the same rows equally often: one scan each, no shuffle of rows."""
     columns = business_columns(left, right, technical)
-    return digest_equivalence(multiset_digest(left, columns, buckets=buckets), multiset_digest(right, columns, buckets=buckets))
+    return digest_equivalence(*[kept_digest(side, columns, buckets=buckets) for side in (left, right)])
 
 
 def opened(df: DataFrame, columns: Sequence[str], wrong: DataFrame, buckets: int = BUCKETS) -> DataFrame:

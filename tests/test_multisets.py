@@ -91,3 +91,12 @@ def test_a_hot_row(spark):
     left = spark.range(30_000).selectExpr("case when id % 3 = 0 then 'same' else concat('r', id) end as k")
     assert compare_datasets(left, left.orderBy("k")).first()["equivalent"]
     assert rows(located_differences(left, left.unionByName(left.where("k = 'same'")))) == [("same", "right", 10_000)]
+
+
+def test_a_kept_digest_is_read_not_computed_again(spark):
+    from siltstone.operators.multisets import digest_equivalence, kept_digest
+
+    df = spark.range(50).selectExpr("id", "id % 3 as g")
+    kept = kept_digest(df, ["id", "g"])
+    assert "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert tuple(digest_equivalence(kept, kept_digest(df.orderBy("g"), ["id", "g"])).first()) == (50, 50, 0, True)
