@@ -22,6 +22,7 @@ from siltstone.functions.records import canonical_json, differs, record_hash
 from siltstone.functions.text import any_zero, as_column
 from siltstone.operators.keyed import latest_per_key
 from siltstone.operators.ordered import annotate_sequence, number_runs
+from siltstone.sources.scratch import stored_once
 
 
 # --- conflicts and current values -------------------------------------------------------
@@ -228,6 +229,8 @@ def revision_runs(
     column classifies the run.
     """
     pieces = run_pieces(df, keys=keys, order=order, state=state, payload=payload, seen_at=seen_at, evidence=evidence, chunk=chunk)
+    if chunk is not None:  # the pieces and the sums over chunks both read them
+        pieces = stored_once(pieces, "run-pieces")
     return runs_of_pieces(
         pieces, keys=keys, state=state, payload=payload, evidence=list(evidence or {}), events=events, default_event=default_event, chunk=None if chunk is None else "_grain"
     )

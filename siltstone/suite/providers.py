@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltstone.operators.metrics import METRICS, query_metric
 from siltstone.plans import accounts, annual, cubes, entities, fx, indicators, weather
-from siltstone.sources.scratch import scratch_path
+from siltstone.sources.readers import spread_scan
+from siltstone.sources.scratch import scratch_path, stored_once
 from siltstone.suite.pipelines import _PRICES, _QUOTES, AS_OF, _envelopes, _wide
 from siltstone.suite.registry import query, table
 
@@ -302,7 +303,7 @@ def _moment():
 
 def _cube_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     """One cube of two periods per order; the second value comes and goes, texts stand among the numbers."""
-    orders = table(spark, folder, "orders")
+    orders = spread_scan(table(spark, folder, "orders"))
     number = F.when(F.col("o_custkey") % 4 == 3, F.lit('"n"')).otherwise((F.col("o_custkey") % 4).cast("string"))
     later = F.when(F.col("o_custkey") % 2 == 0, F.lit("null")).otherwise(F.lit("7"))
     index = "{\"category\": {\"index\": [%s]}}"
@@ -357,6 +358,7 @@ def _cube_revisions(spark, folder):
 )
 def _cube_fact(spark, folder):
     observations = cubes.current_observations(cubes.observation_revisions(cubes.bronze_observations(_cube_envelopes(spark, folder))))
+    observations = stored_once(observations, "observations")  # the fact and its periods both read them
     fact = cubes.fact_observations(observations, cubes.dim_period(observations))
     return fact.select("dataset_key", "geography_key", "period_key", "value_json", "revision_count", "task_id", "period_end_date", "period_granularity")
 

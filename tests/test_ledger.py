@@ -244,3 +244,10 @@ def test_folds_sort_by_the_sequence_first(spark):
     found = guarded_current(df, source=["src", "batch"], identity=["code"], sequence="seq", measures=["mid"], evidence=["no"])
     assert "SortAggregate(key=[seq" in found._jdf.queryExecution().executedPlan().toString()
     assert found.columns == ["src", "batch", "code", "seq", "mid", "no"]
+
+
+def test_chunked_runs_compute_their_pieces_once(spark):
+    df = spark.range(60).selectExpr("'k' as k", "id", "id div 7 as s", "id div 10 as day")
+    runs = revision_runs(df, keys=["k"], order=["id"], state=["s"], seen_at="id", events=[("changed", "s")], chunk="day")
+    assert "Range" not in runs._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(runs, "revision_number", "s", "replayed_response_count") == [(i + 1, i, min(7, 60 - 7 * i)) for i in range(9)]
