@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltstone.operators.increments import EventState, RunState, VersionState
-from siltstone.sources.scratch import scratch_path
+from siltstone.sources.scratch import scratch_path, stored_once
 from siltstone.suite.ledgers import _events, _observed
 from siltstone.suite.registry import ORACLES, query
 
@@ -48,7 +48,7 @@ def _versions(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("incremental_change_events", ORACLES["change_events"])
 def _changes(spark: SparkSession, folder: str) -> DataFrame:
-    df = _observed(spark, folder)
+    df = stored_once(_observed(spark, folder), "observed")  # every increment reads its part
     state = EventState(
         spark, scratch_path(spark, "events"), scope=["source", "day"], member="member", sequence="seq", values=["amount"], metadata=["label"],
         evidence=["evidence"], contract="typed_record_v1",
