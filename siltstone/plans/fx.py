@@ -11,6 +11,7 @@ from siltstone.operators.dimensions import code_dimension, date_spine
 from siltstone.operators.ledger import change_events, conflicting_keys, fold_replays, guarded_current, guarded_dedup
 from siltstone.operators.quality import repeated_in_group, rule_violations
 from siltstone.functions.text import is_finite
+from siltstone.sources.scratch import stored_once
 
 # Source ids, table letters, and keys of the published facts.
 QUOTE_SOURCES = {
@@ -165,6 +166,7 @@ def quote_change_events(quotes: Mapping[str, DataFrame], gold: DataFrame) -> Dat
     records = fold_replays(
         observed, ["ingestion_sequence", "source_id", "effective_date", "code"], [*values, *metadata, *BATCH]
     )
+    records = stored_once(records, "quote-records")  # responses and sightings both read them, and decoding is the costly part
     found = change_events(
         records,
         scope=["source_id", "effective_date"],

@@ -51,3 +51,9 @@ def test_query(spark, con, name):
     assert sorted(order) == columns
     places = [order.index(c) for c in columns]
     assert got == sorted(tuple(plain(row[i]) for i in places) for row in relation.fetchall())
+
+
+@pytest.mark.parametrize("name, source", [("cube_fact_observations", "orders.parquet"), ("fx_change_events", "orders.parquet"), ("fx_absences", "orders.parquet")])
+def test_decoded_rows_are_read_from_storage(spark, name, source):
+    found = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert not [f for f in found.inputFiles() if f.endswith(source)]
